@@ -122,4 +122,5 @@ def alike_classes(df: DataFrame, key: Column, within: Column, text: Column) -> D
     """(key, form, n_spellings): every row with the form of its class and the number of its spellings in the group."""
     rows = df.select(key.alias("key"), within.alias("g"), text.alias("t")).where("key is not null and t is not null").distinct().withColumn("form", canonical_udf("t"))
     n = rows.select("g", "form", "t").distinct().groupBy("g", "form").agg(F.count("*").alias("n_spellings"))
-    return rows.join(n, [rows.g.eqNullSafe(n.g), rows.form == n.form]).select("key", rows.form, "n_spellings")
+    n = n.select(F.col("g").alias("g2"), F.col("form").alias("form2"), "n_spellings")
+    return rows.join(n, F.col("g").eqNullSafe(F.col("g2")) & (F.col("form") == F.col("form2"))).select("key", "form", "n_spellings")
