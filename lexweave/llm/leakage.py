@@ -27,7 +27,7 @@ from lexweave.llm.lookalike import SCRIPTS, _SHAPE, _plain
 WINDOW = 5
 #: An item is looked at more closely where at least so many of its windows are in a document: runs of WINDOW + LEAST_HITS
 #: - 1 words in all, of the third of an item that is sought.
-LEAST_HITS = 4
+LEAST_HITS = 3
 #: Diagonals that lie so close belong to one run: a word put in or left out shifts what follows.
 DRIFT = 3
 #: A place counts only where at least DENSE of the SPAN places around it agree as templates.
@@ -238,9 +238,12 @@ def blocks(items: DataFrame, key: Column, text: Column, chars: int = BLOCK_CHARS
         yield held
 
 
-def leaked(docs: DataFrame, doc_key: Column, doc_text: Column, items: DataFrame, item_key: Column, item_text: Column, least: float = 1 / 3) -> DataFrame:
+def leaked(docs: DataFrame, doc_key: Column, doc_text: Column, items: DataFrame, item_key: Column, item_text: Column, least: float = 0.4) -> DataFrame:
     """(doc_id, item_id, share, template_share): documents that hold at least ``least`` of an item's words as a passage.
 
+    A passage of a third of an item and more is what is sought. As words count only where their surroundings agree, and
+    texts written after one pattern share up to a third by chance, the default lies somewhat higher.
+
     share counts the very words, template_share also slots filled consistently with other values. Null texts on either
     side match nothing, nor do texts and items shorter than a window. Repeated items and documents count once (of an
     item given with several texts the smallest is taken). Documents are read whole, once per block of items.
