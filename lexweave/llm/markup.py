@@ -32,6 +32,7 @@ LONG, DENSE, LINKS = 60, 0.2, 0.5
 _T = "|".join(TAGS)
 _CODE = ("\x02", "\x03")  # around code, so that nothing in it is taken for markup
 _rx = lambda p, f=0: re.compile(p, f)
+_KEPT, _TABS, _SPACES = _rx(r"\x02(\d+)\x03"), _rx(r"[ \t]*\t[ \t]*"), _rx(r"[ \t]+")
 #: What any markup needs; a text without it is passed through.
 _HINT = _rx(r"<[/!A-Za-z]|[\[\]{}]{2}|''|__|~~|`|\\|\*\S|&#?\w+;|\]\(|https?://|\$|(?m:^[ \t]*(?:[#>|=*+-]|\d+[.)] ))|(?<!\w)_\w|#REDIRECT|\{\||\|\}")
 _COMMENT = _rx(r"<!--.*?(?:-->|\Z)", re.S)
@@ -84,6 +85,16 @@ _NUMBER = _rx(r"^[ \t]*\d{1,3}[.)][ \t]+(?=\S)")
 _QUOTE = _rx(r"^[ \t]*>[ \t]?")
 
 
+#: What must be in a text for a pattern to match at all.
+_NEEDS = {
+    _COMMENT: "<!--", _DROPPED: "<", _PRE: "<", _MATH_TAG: "<", _REF: "<", _HEAD_TAG: "<", _BREAK: "<", _ITEM_TAG: "<", _CELL: "<", _BLOCK_TAG: "<", _TAG: "<",
+    _ESC_TAG: "&lt;", _ENTITY: "&", _REDIRECT: "#", _PARAM: "{{{", _TEMPLATE: "{{", _OPEN_TEMPLATE: "{{", _FILE: "[[", _WIKILINK: "[[", _EXTLINK: "[", _MD_LINK: "](",
+    _MAGIC: "__", _WIKI_EM: "''", _STRIKE: "~~", _TICK: "`", _TEX_QUOTE: "``", _TEX_HEAD: "\\", _TEX_ITEM: "\\item", _TEX_ENV: "\\", _TEX_ACCENT: "\\",
+}
+#: What a line needs for any inline markup.
+_INLINE = _rx(r"[\[\]{}<*_~`&]|''")
+
+
 class _Doc:
     """The state of one conversion: the number of markup pieces met, links and their length."""
 
@@ -91,6 +102,8 @@ class _Doc:
         self.n = 0
 
     def sub(self, rx: re.Pattern, to, s: str) -> str:
+        if rx in _NEEDS and _NEEDS[rx] not in s:
+            return s
         s, k = rx.subn(to, s)
         self.n += k
         return s
@@ -107,6 +120,8 @@ class _Doc:
         return words[0 if len(pos) > 4 else min(1, len(words) - 1) if len(pos) == 3 else 0] + (f" “{gloss}”" if gloss else "")
 
     def inline(self, s: str) -> str:
+        if not _INLINE.search(s):
+            return s
         for _ in range(8):  # templates and links nest; each round resolves the innermost
             before = self.n
             s = self.sub(_PARAM, lambda m: m[2] if m[2] is not None else "", s)
@@ -184,7 +199,7 @@ def convert(text: str) -> tuple[list[tuple[str, int, str, float]], int]:
     for i, line in enumerate(lines):
         if not line.strip():
             continue
-        if m := re.fullmatch(rf"\s*{_CODE[0]}(\d+){_CODE[1]}\s*", line):
+        if kept and (m := _KEPT.fullmatch(line.strip())):
             kind, body = kept[int(m[1])]
             blocks.append(["paragraph" if kind == "inline" else kind, 0, body, 0.0])
             continue
@@ -225,13 +240,16 @@ def convert(text: str) -> tuple[list[tuple[str, int, str, float]], int]:
             kind, line, d.n = "quote", _QUOTE.sub("", line), d.n + 1
         elif (m := _NUMBER.match(line)) and (i and _NUMBER.match(lines[i - 1]) or i + 1 < len(lines) and _NUMBER.match(lines[i + 1])):
             kind, level = "item", 1
-        linked = sum(len(m[2] or m[1]) for m in _WIKILINK.finditer(line)) + sum(len(m[1] or "") for m in _EXTLINK.finditer(line)) + sum(len(m[1]) for m in _MD_LINK.finditer(line))
+        linked = 0
+        if "[" in line:
+            linked = sum(len(m[2] or m[1]) for m in _WIKILINK.finditer(line)) + sum(len(m[1] or "") for m in _EXTLINK.finditer(line)) + sum(len(m[1]) for m in _MD_LINK.finditer(line))
         line = d.inline(line)
         if "\\" in line:
             line = d.sub(_TEX_ESC, r"\1", d.sub(_TEX_CMD, lambda m: _formula(m[0]), line))
         line = d.sub(_ENTITY, lambda m: html.unescape(m[0]).replace("\xa0", " "), line)
-        line = re.sub(rf"{_CODE[0]}(\d+){_CODE[1]}", lambda m: kept[int(m[1])][1], line)
-        line = (re.sub(r"[ \t]*\t[ \t]*", "\t", line) if kind == "row" else re.sub(r"[ \t]+", " ", line)).strip()
+        if kept and _CODE[0] in line:
+            line = _KEPT.sub(lambda m: kept[int(m[1])][1], line)
+        line = (_TABS.sub("\t", line) if kind == "row" else _SPACES.sub(" ", line)).strip()
         if line:
             blocks.append([kind, level, line, min(1.0, linked / len(line))])
     return [tuple(b) for b in blocks], d.n
