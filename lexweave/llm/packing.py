@@ -119,4 +119,5 @@ def pack(counts: DataFrame, capacity: int = 2048, max_docs: int = 64, max_cost:
         name = pa.array([f"{t.column('g')[0].as_py()}-{k}" for k in to])
         return pa.table([name, t.column("doc_id"), t.column("piece"), t.column("n_pieces"), pa.array((piece[order].astype(np.int64) - 1) * longest), pa.array(size[order])], ["container", "doc_id", "piece", "n_pieces", "first_token", "n_tokens"])
 
-    return pieces.groupBy("g").applyInArrow(run, "container string, doc_id bigint, piece int, n_pieces int, first_token bigint, n_tokens bigint")
+    # an explicit number of partitions, which isn't coalesced: a group is little data but much work
+    return pieces.repartition(groups, "g").groupBy("g").applyInArrow(run, "container string, doc_id bigint, piece int, n_pieces int, first_token bigint, n_tokens bigint")
