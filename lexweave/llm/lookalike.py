@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexweave.plans.runtime import cut
+
 #: Letters of one shape, as Latin, Cyrillic and Greek ("-" where a script has none).
 SHAPES = """
 a а - | c с - | d ԁ - | e е - | h һ - | i і - | j ј - | o о ο | p р - | q ԛ - | s ѕ - | v ѵ ν | w ԝ - | x х - | y у -
@@ -113,7 +115,7 @@ def alike_pairs(df: DataFrame, key: Column, within: Column, text: Column, order:
     rows = df.select(key.alias("k"), order.alias("o"), within.alias("g"), text.alias("t")).where("k is not null and g is not null and t is not null").distinct()
     rows = rows.withColumn("c", canonical_udf("t"))
     classes = rows.groupBy("g", "c").agg(F.min("t").alias("t0"), F.max("t").alias("t1")).where("t0 <> t1").select("g", "c")
-    some = rows.join(classes, ["g", "c"], "left_semi")
+    some = cut(rows.join(classes, ["g", "c"], "left_semi"))
     a, b = some.select("g", "c", *(F.col(x).alias(x + "a") for x in "kot")), some.select("g", "c", *(F.col(x).alias(x + "b") for x in "kot"))
     return a.join(b, ["g", "c"]).where("ta <> tb and oa < ob").select(F.col("ka").alias("key_a"), F.col("kb").alias("key_b")).distinct()
 
