@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lexweave.plans import core_queries
+from lexweave.plans import core_queries, graph_queries
 
-_MODULES = [core_queries]
+_MODULES = [core_queries, graph_queries]
 
 
 def queries() -> dict:
@@ -16,4 +16,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark, sf_dir: str):
-    return queries()["p2_found"](spark, sf_dir)
+    return queries()["g13_full_reduction"](spark, sf_dir)
