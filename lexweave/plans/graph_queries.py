@@ -121,9 +121,9 @@ def g6_direction_swap(spark, d):
 _REACH = "re AS (SELECT src AS a, tgt AS b FROM sp UNION SELECT re.a, sp.tgt FROM re JOIN sp ON re.b = sp.src)"
 
 
-@query(f"WITH RECURSIVE {_SPARSE}, {_REACH} SELECT src, tgt FROM sp WHERE (tgt, src) IN (SELECT (a, b) FROM re)")
+@query(f"WITH RECURSIVE {_DENSE}, sp AS (SELECT DISTINCT src, tgt FROM dn WHERE src <> tgt AND type = 'eponym'), {_REACH} SELECT src, tgt FROM sp WHERE (tgt, src) IN (SELECT (a, b) FROM re)")
 def g7_cycle_edges(spark, d):
-    e = sparse(spark, d)
+    e = dense(spark, d).where("src <> tgt and type = 'eponym'").select("src", "tgt").distinct()
     return G.on_cycles(e, G.strong_components(e)).select("src", "tgt")
 
 
@@ -234,7 +234,7 @@ def g22_overlap(spark, d):
     a = e.where("not uncertain").select("src", "tgt", F.lit(1).alias("l"), F.lit(0).alias("r"))
     b = e.where(F.col("type").isin(*O.DIRECTED)).select("src", "tgt", F.lit(0), F.lit(1))
     m = a.union(b).groupBy("src", "tgt").agg(F.max("l").alias("l"), F.max("r").alias("r"))
-    return m.agg(F.count_if("l = 1 and r = 1").alias("n_both"), F.count_if("r = 0").alias("n_left"), F.count_if("l = 0").alias("n_right")).select(F.lit("edges").alias("what"), "*")
+    return m.agg(F.count_if(F.expr("l = 1 and r = 1")).alias("n_both"), F.count_if(F.expr("r = 0")).alias("n_left"), F.count_if(F.expr("l = 0")).alias("n_right")).select(F.lit("edges").alias("what"), "*")
 
 
 @query(f"""WITH {_E}, n AS (SELECT DISTINCT kind, concat_ws('#', term, language, coalesce(sense_idx, 0)::VARCHAR) AS node FROM node), u AS (SELECT src AS node FROM e UNION SELECT tgt FROM e)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,16 +22,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_LOCAL: list[str] = []
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's spark.checkpoint.dir, which all executors share; where that is unset, as in tests on one machine, a
+    temporary folder of this process."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="lexweave-"))
+        atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
+    return _LOCAL[0]
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the checkpoint folder and forget its lineage.
+    """``df`` written as a table in the shared folder and read again.
 
-    The folder is the session's spark.checkpoint.dir, which all executors share; only where that is unset, as in
-    tests on one machine, is a temporary folder made.
+    That ends its lineage, survives the loss of executors, and, unlike a checkpointed RDD, tells the optimizer the size.
     """
-    sc = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="lexweave-"))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/lexweave-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def skew_join(left: DataFrame, right: DataFrame, key: str, rows: int, how: str = "left") -> DataFrame:
