@@ -37,22 +37,15 @@ def dense(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def dag(spark: SparkSession, d: str) -> DataFrame:
-    li = table(spark, d, "lineitem").where("l_orderkey < 1500")
-    a, b = F.col("l_orderkey") % 60, F.col("l_partkey") % 60
-    return li.where(a != b).select(F.lpad(F.least(a, b).cast("string"), 2, "0").alias("src"), F.lpad(F.greatest(a, b).cast("string"), 2, "0").alias("tgt")).distinct()
+def simple(spark: SparkSession, d: str) -> DataFrame:
+    """(src, tgt): the whole relation graph without loops and parallel edges."""
+    return G.no_self_loops(edges(spark, d)).select("src", "tgt").distinct()
 
 
-def sparse(spark: SparkSession, d: str) -> DataFrame:
-    n = table(spark, d, "part").count()
-    li = table(spark, d, "lineitem").where("l_quantity <= 2")
-    return li.select((F.col("l_orderkey") % n).cast("string").alias("src"), F.col("l_partkey").cast("string").alias("tgt")).where("src <> tgt").distinct()
-
-
-def very_sparse(spark: SparkSession, d: str) -> DataFrame:
-    n = table(spark, d, "part").count()
-    li = table(spark, d, "lineitem").where("l_quantity = 1")
-    return li.select((F.col("l_orderkey") % n).cast("string").alias("src"), F.col("l_partkey").cast("string").alias("tgt")).where("src <> tgt").distinct()
+def acyclic(e: DataFrame) -> DataFrame:
+    """``e`` without the edges that lie on a cycle."""
+    e = cut(e)
+    return cut(e.join(G.on_cycles(e, G.strong_components(e)).select("src", "tgt"), ["src", "tgt"], "left_anti"))
 
 
 _IN = "('" + "','".join(O.PARENT) + "')"
@@ -129,12 +122,13 @@ def g7_cycle_edges(spark, d):
 
 @query(f"WITH RECURSIVE {_SPARSE}, {_REACH}, m AS (SELECT x.a, x.b FROM re x JOIN re y ON x.a = y.b AND x.b = y.a) SELECT a AS node, min(b) AS scc FROM m GROUP BY a HAVING count(*) > 1")
 def g9_scc(spark, d):
-    return G.strong_components(sparse(spark, d))
+    return G.strong_components(simple(spark, d))
 
 
 @query(f"WITH RECURSIVE {_DAG}, re AS (SELECT src AS a, tgt AS b FROM dg UNION SELECT re.a, dg.tgt FROM re JOIN dg ON re.b = dg.src) SELECT src, tgt FROM dg WHERE NOT EXISTS (SELECT 1 FROM dg w JOIN re ON re.a = w.tgt WHERE w.src = dg.src AND w.tgt <> dg.tgt AND re.b = dg.tgt)")
 def g10_transitive_reduction(spark, d):
-    e = dag(spark, d)
+    """The whole relation graph, its cycle edges set aside, without what longer paths imply."""
+    e = acyclic(simple(spark, d))
     return e.join(G.implied_edges(e), ["src", "tgt"], "left_anti")
 
 
@@ -146,7 +140,7 @@ _VSPARSE = _SPARSE.replace("sp AS", "e AS").replace("l_quantity <= 2", "l_quanti
 
 @query(f"WITH RECURSIVE {_VSPARSE}, {_WEAK} SELECT a AS node, least(a, min(b)) AS component FROM wc GROUP BY a")
 def g11_weak_components(spark, d):
-    return G.weak_components(very_sparse(spark, d))
+    return G.weak_components(simple(spark, d))
 
 
 @query()
@@ -249,7 +243,7 @@ def g23_coverage(spark, d):
 
 @query(f"WITH RECURSIVE {_VSPARSE}, {_WEAK}, l AS (SELECT a AS node, least(a, min(b)) AS c FROM wc GROUP BY a), s AS (SELECT c, count(*) AS k FROM l GROUP BY c) SELECT sum(k)::BIGINT AS n_nodes, count(*) AS n_components, max(k) AS largest, min(k) AS smallest, round(avg(k), 6) AS mean_size, mode(k) AS modal, round(sum(k * k) / sum(k), 6) AS expected_size FROM s")
 def a17_component_summary(spark, d):
-    s = G.weak_components(very_sparse(spark, d)).groupBy("component").agg(F.count("*").alias("k"))
+    s = G.weak_components(simple(spark, d)).groupBy("component").agg(F.count("*").alias("k"))
     return s.agg(F.sum("k").alias("n_nodes"), F.count("*").alias("n_components"), F.max("k").alias("largest"), F.min("k").alias("smallest"), F.round(F.avg("k"), 6).alias("mean_size"), F.mode("k").alias("modal"), F.round(F.sum(F.col("k") * F.col("k")) / F.sum("k"), 6).alias("expected_size"))
 
 
