@@ -27,16 +27,6 @@ def edges(spark: SparkSession, d: str) -> DataFrame:
     return G.edges_of(table(spark, d, "relation"))
 
 
-def dense(spark: SparkSession, d: str) -> DataFrame:
-    """A small dense multigraph with many parallel and opposed edges, from orders and suppliers."""
-    li, o = table(spark, d, "lineitem"), table(spark, d, "orders")
-    kinds = F.array(*(F.lit(t) for t in ("related", "borrowing", "learned borrowing", "cognate", "eponym", "origin", "doublet")))
-    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.concat(F.lit("n"), F.col("o_custkey") % 40).alias("src"), F.concat(F.lit("n"), F.col("l_suppkey") % 40).alias("tgt"), F.element_at(kinds, F.col("l_linenumber").cast("int")).alias("type"),
-        F.lit(None).cast("string").alias("text"), (F.col("l_returnflag") == "R").alias("uncertain"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"),
-    )
-
-
 def simple(spark: SparkSession, d: str) -> DataFrame:
     """(src, tgt): the whole relation graph without loops and parallel edges."""
     return G.no_self_loops(edges(spark, d)).select("src", "tgt").distinct()
@@ -66,13 +56,13 @@ def g1_self_loops(spark, d):
 
 @query(f"WITH {_DENSE}, {_UP}, p AS (SELECT src, tgt, type, bool_or(uncertain) u, min(ord) o FROM dn WHERE src <> tgt AND type IN {_DIR} GROUP BY ALL) SELECT p.src, p.tgt, p.type, bool_or(q.u) AS uncertain, min(q.o) AS ord FROM p JOIN p q ON p.src = q.src AND p.tgt = q.tgt AND (q.type = p.type OR (p.type, q.type) IN (SELECT (type, ancestor) FROM up)) WHERE NOT EXISTS (SELECT 1 FROM p r JOIN up ON up.type = r.type WHERE r.src = p.src AND r.tgt = p.tgt AND up.ancestor = p.type) GROUP BY ALL")
 def g2_lattice_merge(spark, d):
-    e = dense(spark, d)
+    e = edges(spark, d)
     return G.merge_types(G.no_self_loops(e).where(F.col("type").isin(*O.DIRECTED))).select("src", "tgt", "type", "uncertain", "ord")
 
 
 @query(f"WITH {_DENSE} SELECT least(src, tgt) AS src, greatest(src, tgt) AS tgt, type, bool_or(uncertain) AS uncertain FROM dn WHERE src <> tgt AND type IN {_SIB} GROUP BY 1, 2, 3")
 def g3_sibling_pairs(spark, d):
-    e = G.no_self_loops(dense(spark, d)).where(F.col("type").isin(*O.SIBLING))
+    e = G.no_self_loops(edges(spark, d)).where(F.col("type").isin(*O.SIBLING))
     return G.merge_types(G.undirected(e)).select("src", "tgt", "type", "uncertain")
 
 
@@ -116,7 +106,7 @@ _REACH = "re AS (SELECT src AS a, tgt AS b FROM sp UNION SELECT re.a, sp.tgt FRO
 
 @query(f"WITH RECURSIVE {_DENSE}, sp AS (SELECT DISTINCT src, tgt FROM dn WHERE src <> tgt AND type = 'eponym'), {_REACH} SELECT src, tgt FROM sp WHERE (tgt, src) IN (SELECT (a, b) FROM re)")
 def g7_cycle_edges(spark, d):
-    e = dense(spark, d).where("src <> tgt and type = 'eponym'").select("src", "tgt").distinct()
+    e = cut(simple(spark, d))
     return G.on_cycles(e, G.strong_components(e)).select("src", "tgt")
 
 
@@ -252,7 +242,7 @@ SELECT (SELECT count(*) FROM dn WHERE src = tgt) AS selfloop, CAST(sum(CASE WHEN
 round(sum(CASE WHEN gone THEN k ELSE k - 1 END) / sum(k), 6) AS redundancy FROM q""")
 def a15_event_counts(spark, d):
     """What merging did to the directed edges, and their redundancy."""
-    e = dense(spark, d)
+    e = edges(spark, d)
     p = G.no_self_loops(e).where(F.col("type").isin(*O.DIRECTED)).groupBy("src", "tgt", "type").agg(F.count("*").alias("k"))
     types = p.groupBy("src", "tgt").agg(F.collect_set("type").alias("types"))
     lower = F.create_map(*(x for t in O.DIRECTED for x in (F.lit(t), F.array(*(F.lit(b) for b in O.below(t) if b != t)).cast("array<string>"))))

@@ -61,3 +61,34 @@ def test_transitive_reduction(spark, rows, relation):
     want = sorted((a, b) for a, b in dag if not any(b in r[w] for v, w in dag if v == a))
     assert len(want) < len(dag) < len(e)
     assert rows(queries()["g10_transitive_reduction"](spark, d)) == want
+
+
+def merged(edges):
+    """{(src, tgt, type): [uncertain, ord, rows]} and the keys that a type below theirs covers."""
+    per = {}
+    for a, b, t, u, k in edges:
+        if a != b:
+            x = per.setdefault((a, b, t), [False, k, 0])
+            x[:] = x[0] or u, min(x[1], k), x[2] + 1
+    return per, {(a, b, t) for a, b, t in per if any((a, b) == (c, e) and t in O.ancestors(s)[1:] for c, e, s in per)}
+
+
+def test_merged_types(spark, rows, relation):
+    d, edges = relation
+    per, gone = merged([e for e in edges if e[2] in O.DIRECTED])
+    assert gone
+    group = {(a, b, t): [x for (c, e, s), x in per.items() if (a, b) == (c, e) and s in O.ancestors(t)] for a, b, t in per}
+    assert rows(queries()["g2_lattice_merge"](spark, d)) == sorted((*k, any(x[0] for x in g), min(x[1] for x in g)) for k, g in group.items() if k not in gone)
+    pairs, _ = merged([(min(a, b), max(a, b), t, u, k) for a, b, t, u, k in edges if t in O.SIBLING])
+    assert rows(queries()["g3_sibling_pairs"](spark, d)) == sorted((*k, x[0]) for k, x in pairs.items())
+    (s,) = queries()["a15_event_counts"](spark, d).collect()
+    n = sum(x[2] for x in per.values())
+    assert (s.selfloop, s.n_edges) == (sum(a == b for a, b, *_ in edges), len(per) - len(gone))
+    assert (s.merge_equal, s.merge_more_specific) == (sum(x[2] - 1 for k, x in per.items() if k not in gone), sum(per[k][2] for k in gone))
+    assert s.redundancy == round((n - s.n_edges) / n, 6)
+
+
+def test_cycle_edges(spark, rows, relation):
+    d, edges = relation
+    e, r = simple(edges), reach(simple(edges))
+    assert rows(queries()["g7_cycle_edges"](spark, d)) == sorted((a, b) for a, b in e if a in r[b])
