@@ -58,3 +58,19 @@ def test_hot_keys_apart(spark, rows, monkeypatch):
     monkeypatch.setattr(runtime, "SKEW_ROWS", 10)
     monkeypatch.setattr(runtime, "HOT_SHARE", 0.1)
     assert sorted(map(str, rows(runtime.skew_join(left, right, "k", 91).na.fill(-1).na.fill("-")))) == want
+
+
+def test_descendants_of_every_family(spark, rows, tmp_path):
+    from lexweave.plans.core_queries import p2_descendants
+
+    rnd = random.Random(5)
+    parent = {f"f{i:02d}": (f"f{rnd.randrange(i):02d}" if i % 9 else None) for i in range(80)} | {"x": "y", "y": "x", "z": "y"}
+    spark.createDataFrame([(c, f"Name {c}", None, p) for c, p in parent.items()] * 2, "code string, canonical_name string, other_names string, parent_family string").write.parquet(f"{tmp_path}/language_families.parquet")
+    want = []
+    for c in parent:
+        p = parent[c]
+        while p and c < "x":
+            want.append((p, c))
+            p = parent[p]
+    assert {a for a, _ in want if parent[a] is None} and {a for a, _ in want if parent.get(parent[a])}
+    assert rows(p2_descendants(spark, str(tmp_path))) == sorted(want)
