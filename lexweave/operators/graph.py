@@ -251,6 +251,17 @@ def bfs(edges: DataFrame, sources: DataFrame, cutoff: int) -> DataFrame:
     return seen
 
 
+def above(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node): ``nodes`` and all from which edges lead to them, the newly met only in each round."""
+    e = cut(edges.select("src", F.col("tgt").alias("node")).distinct())
+    seen = front = cut(nodes.select("node").distinct())
+    while front.limit(1).count():
+        step = front.join(e, "node").select(F.col("src").alias("node")).distinct()
+        front = cut(step.join(seen, "node", "left_anti"))
+        seen = cut(seen.union(front))
+    return seen
+
+
 def paths(edges: DataFrame, sources: DataFrame, depth: int, direction: str = "out") -> DataFrame:
     """(start, node, length, links): every path of at most ``depth`` edges that uses no edge twice.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexweave.operators import graph as G
+from lexweave.operators import hierarchy as H
 from lexweave.operators import ontology as O
 from lexweave.plans.runtime import cut, table
 
@@ -38,6 +39,22 @@ def acyclic(e: DataFrame) -> DataFrame:
     return cut(e.join(G.on_cycles(e, G.strong_components(e)).select("src", "tgt"), ["src", "tgt"], "left_anti"))
 
 
+def language_tree(e: DataFrame, min_count: int = 8, min_odds: float = 0.8) -> DataFrame:
+    """(src, tgt, odds): the older and the younger language, by the inheritance and root edges.
+
+    A pair needs so many links both ways together and a greater share than ``min_odds`` one way; edges on cycles go, then
+    those that longer paths imply.
+    """
+    lang = lambda c: F.element_at(F.split(c, "#"), -2)
+    c = cut(e.where("type in ('inheritance', 'root')").select(lang("src").alias("src"), lang("tgt").alias("tgt")).where("src <> tgt").groupBy("src", "tgt").agg(F.count("*").alias("n")))
+    r = c.select(F.col("tgt").alias("src"), F.col("src").alias("tgt"), F.col("n").alias("m"))
+    both = F.col("n") + F.coalesce("m", F.lit(0))
+    tree = cut(c.join(r, ["src", "tgt"], "left").withColumn("odds", F.col("n") / both).where((both >= min_count) & (F.col("odds") > min_odds)).select("src", "tgt", "odds"))
+    dag = acyclic(tree.select("src", "tgt"))
+    kept = dag.join(G.implied_edges(dag), ["src", "tgt"], "left_anti")
+    return tree.join(kept, ["src", "tgt"], "left_semi")
+
+
 _IN = "('" + "','".join(O.PARENT) + "')"
 _E = f"""e AS (SELECT DISTINCT concat_ws('#', src.term, src.language, coalesce(src.sense_idx, 0)::VARCHAR) AS src, concat_ws('#', tgt.term, tgt.language, coalesce(tgt.sense_idx, 0)::VARCHAR) AS tgt,
  CASE WHEN lower(trim(type)) IN {_IN} THEN lower(trim(type)) ELSE 'related' END AS type, nullif(text, '') AS text, coalesce(uncertain, false) AS uncertain, ord FROM relation WHERE src.term IS NOT NULL AND tgt.term IS NOT NULL)"""
@@ -153,22 +170,34 @@ def g13_full_reduction(spark, d):
 @query(f"""WITH RECURSIVE {_E}, x AS (SELECT string_split(src, '#')[-2] AS a, string_split(tgt, '#')[-2] AS b FROM e WHERE type IN {_DIR}), c AS (SELECT a, b, count(*) AS n FROM x WHERE a <> b GROUP BY ALL)
 SELECT c.a AS src, c.b AS tgt, round(c.n / (c.n + coalesce(r.n, 0)), 6) AS odds FROM c LEFT JOIN c r ON c.a = r.b AND c.b = r.a WHERE c.n >= 3 AND c.n / (c.n + coalesce(r.n, 0)) > 0.6""")
 def g14_tree_inference(spark, d):
-    """Language pairs by how often words went one way rather than the other."""
-    lang = lambda c: F.element_at(F.split(c, "#"), -2)
-    c = edges(spark, d).where(F.col("type").isin(*O.DIRECTED)).select(lang("src").alias("src"), lang("tgt").alias("tgt")).where("src <> tgt").groupBy("src", "tgt").agg(F.count("*").alias("n"))
-    r = c.select(F.col("tgt").alias("src"), F.col("src").alias("tgt"), F.col("n").alias("m"))
-    odds = F.col("n") / (F.col("n") + F.coalesce("m", F.lit(0)))
-    return c.join(r, ["src", "tgt"], "left").where((F.col("n") >= 3) & (odds > 0.6)).select("src", "tgt", F.round(odds, 6).alias("odds"))
+    """The tree of languages by how often inherited words went one way rather than the other (A27, J6), without cycles
+    and without what longer paths imply."""
+    return language_tree(edges(spark, d)).select("src", "tgt", F.round("odds", 6).alias("odds"))
 
 
 @query("""WITH la AS (SELECT code, min(canonical_name) AS name, min(nullif(parent, '')) AS parent, min(nullif(family, '')) AS family FROM language_data GROUP BY code), fa AS (SELECT DISTINCT code FROM language_families)
 SELECT coalesce(p.code, f.code) AS parent, l.code AS child FROM la l LEFT JOIN (SELECT name, min(code) AS code FROM la GROUP BY name) p ON l.parent = p.name LEFT JOIN fa f ON l.family = f.code WHERE coalesce(p.code, f.code) IS NOT NULL""")
 def g15_language_tree(spark, d):
-    """Parent of every language: the parent language if it is known, else the family."""
-    la = table(spark, d, "language_data").groupBy("code").agg(F.min("canonical_name").alias("name"), F.min(F.nullif("parent", F.lit(""))).alias("parent"), F.min(F.nullif("family", F.lit(""))).alias("family"))
+    """The families and languages above every language, reduced.
+
+    Edges are those from a language's parent, or its family where no parent is known, from a family's parent family and
+    of the inferred tree. Families without a language below are left out, and edges on cycles are set aside.
+    """
+    la = cut(table(spark, d, "language_data").groupBy("code").agg(F.min("canonical_name").alias("name"), F.min(F.nullif("parent", F.lit(""))).alias("parent"), F.min(F.nullif("family", F.lit(""))).alias("family")))
     p = la.groupBy(F.col("name").alias("parent")).agg(F.min("code").alias("p"))
-    f = table(spark, d, "language_families").select(F.col("code").alias("family"), F.col("code").alias("f")).distinct()
-    return la.join(p, "parent", "left").join(f, "family", "left").select(F.coalesce("p", "f").alias("parent"), F.col("code").alias("child")).where("parent is not null")
+    fa = table(spark, d, "language_families")
+    f = fa.select(F.col("code").alias("family"), F.col("code").alias("f")).distinct()
+    # a language and a family may have one code
+    kind = lambda k, c: F.concat(F.lit(k), F.col(c))
+    own = la.join(p, "parent", "left").join(f, "family", "left").select(F.coalesce(kind("L", "p"), kind("F", "f")).alias("src"), kind("L", "code").alias("tgt"))
+    links = H.resolve_parents(fa, F.col("code"), F.col("canonical_name"), F.col("parent_family")).select(kind("F", "parent").alias("src"), kind("F", "code").alias("tgt"))
+    known = cut(own.union(links).where("src <> tgt").distinct())
+    keep = G.above(known, la.select(kind("L", "code").alias("node")))
+    known = known.join(keep.withColumnRenamed("node", "tgt"), "tgt", "left_semi").select("src", "tgt")
+    codes = la.select("code")
+    tree = language_tree(edges(spark, d)).join(codes.withColumnRenamed("code", "src"), "src", "left_semi").join(codes.withColumnRenamed("code", "tgt"), "tgt", "left_semi")
+    e = acyclic(known.union(tree.select(kind("L", "src"), kind("L", "tgt"))).distinct())
+    return e.join(G.implied_edges(e), ["src", "tgt"], "left_anti").select(F.substr("src", F.lit(2)).alias("parent"), F.substr("tgt", F.lit(2)).alias("child"))
 
 
 @query("SELECT * FROM (VALUES " + ", ".join(f"('{p}','{t}')" for t, p in O.PARENT.items() if p) + ") v(parent, type)")
