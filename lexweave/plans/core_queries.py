@@ -71,7 +71,38 @@ def p7_sections(spark: SparkSession, d: str) -> DataFrame:
     return t.select(F.col("rev").cast("bigint").alias("rev_id"), F.col("pos2").alias("sec_pos"), F.array_join(F.from_json("path", "array<string>"), " > ").alias("path"), F.col("note").isNotNull().alias("has_note")).distinct()
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_paths, p2_descendants, p5_found, p7_found, p7_revisions, p7_sections)}
+def p7_pages(spark: SparkSession, d: str) -> DataFrame:
+    """The table of pages, those without revisions included; partial if any of a page's rows is."""
+    return table(spark, d, "json_page").groupBy(F.col("id").alias("page_id"), "title", "ns").agg(F.bool_or(F.coalesce("partial", F.lit(False))).alias("partial"))
+
+
+P7_CONTRIBUTOR = ["[].id", "[].contributor.id", "[].contributor.username", "[].contributor.ip"]
+
+
+def p7_contributors(spark: SparkSession, d: str) -> DataFrame:
+    """The table of contributors, each with its revision; revisions that name none give nothing."""
+    s = shred(table(spark, d, "json_page"), F.col("id"), F.col("revision"), P7_CONTRIBUTOR)
+    t = assemble(s, P7_CONTRIBUTOR, "[]", dict(zip(("rev", "id", "username", "ip"), P7_CONTRIBUTOR)))
+    return t.where("coalesce(id, username, ip) is not null").select(F.col("rec_key").alias("page_id"), F.col("rev").cast("bigint").alias("rev_id"), "id", "username", "ip").distinct()
+
+
+def p7_templates(spark: SparkSession, d: str) -> DataFrame:
+    """The table of templates with their counts, each with its revision and section."""
+    leaves = ["[].id", "[].sections[].templates[].name", "[].sections[].templates[].count"]
+    s = shred(table(spark, d, "json_page"), F.col("id"), F.col("revision"), leaves)
+    t = assemble(s, leaves, "[].sections[].templates[]", {"rev": leaves[0], "name": leaves[1], "count": leaves[2]})
+    return t.select(F.col("rec_key").alias("page_id"), F.col("rev").cast("bigint").alias("rev_id"), F.col("pos2").alias("sec_pos"), F.col("pos3").alias("tpl_pos"), "name", F.col("count").try_cast("bigint").alias("count")).distinct()
+
+
+def p7_texts(spark: SparkSession, d: str) -> DataFrame:
+    """The text of every revision that has one."""
+    leaves = ["[].id", "[].text"]
+    s = shred(table(spark, d, "json_page"), F.col("id"), F.col("revision"), leaves)
+    t = assemble(s, leaves, "[]", {"rev": leaves[0], "text": leaves[1]})
+    return t.where("text is not null").select(F.col("rec_key").alias("page_id"), F.col("rev").cast("bigint").alias("rev_id"), "text").distinct()
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_paths, p2_descendants, p5_found, p7_found, p7_revisions, p7_sections, p7_pages, p7_contributors, p7_templates, p7_texts)}
 
 _FAM = """
 WITH RECURSIVE raw AS (SELECT code, min(nullif(lower(trim(code)), '')) ck, min(nullif(lower(trim(canonical_name)), '')) nk,
