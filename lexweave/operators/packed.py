@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexweave.plans.runtime import cut
+
 #: Characters that end a value wherever they stand outside quotes.
 HARD = "|,;\n\t\r"
 #: Opening quotation marks and the mark that closes each.
@@ -20,6 +22,8 @@ QUOTES = {'"': '"', "“": "”", "„": "“", "«": "»"}
 _MASKED = HARD + "/  " + "".join(QUOTES) + "".join(QUOTES.values())
 _CLASS = "".join("\\" + c if c in "|\\^-[]" else c for c in dict.fromkeys(_MASKED))
 _ORDINARY = f"[^{_CLASS}]+"
+#: White space at the ends of a value, as Unicode has it.
+SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in "\x1c\x1d\x1e\x1f")
 #: Rules are broadcast up to this many characters of skeletons, joined by a salted shuffle beyond.
 BROADCAST_CHARS = 16_000_000
 SALTS = 32
@@ -87,15 +91,18 @@ def _rules(skeletons: pa.Array) -> pa.Array:
     return pa.array(rows, pa.list_(pa.struct([("first", pa.int32()), ("n", pa.int32()), ("mark", pa.string())])))
 
 
-def split_packed(df: DataFrame, key: Column, text: Column) -> DataFrame:
+def split_packed(df: DataFrame, key: Column, text: Column, near: Column | None = None) -> DataFrame:
     """One row per value of ``text``: (rec_key, pos, val), pos from 1 without the empty ones.
 
     Rows with a null key or text, or with nothing but delimiters, give no rows. Repeated rows are split once: rows that
-    agree in key and text are the same record. Ties don't arise, as position is unique in a record. Only the two
-    expressions are read, so other columns may have any names. An empty table gives an empty result.
+    agree in key and text are the same record. Ties don't arise, as position is unique in a record. Only the given
+    expressions are read, so other columns may have any names. An empty table gives an empty result. With ``near``, a
+    function of the key, records that agree in it lie in one file of the table the texts are kept in meanwhile.
     """
-    base = df.select(key.alias("rec_key"), text.alias("t")).where("rec_key is not null and t is not null and t <> ''").distinct()
-    base = base.withColumn("s", skeleton("t"))
+    by = [near.alias("near")] if near is not None else []
+    base = df.select(*by, key.alias("rec_key"), text.alias("t")).where("rec_key is not null and t is not null and t <> ''")
+    base = (base.repartition("near") if by else base).distinct().drop("near")
+    base = cut(base.withColumn("s", skeleton("t")))
     distinct = base.select("s").distinct()
     size = distinct.agg(F.coalesce(F.sum(F.length("s")), F.lit(0))).first()[0]
     rules = distinct.withColumn("rule", _rules("s"))
@@ -108,7 +115,7 @@ def split_packed(df: DataFrame, key: Column, text: Column) -> DataFrame:
 
     def value(r: Column) -> Column:
         raw = F.array_join(F.slice(F.col("runs"), r["first"] + 1, r["n"]), "")
-        return F.regexp_replace(F.when(r["mark"] != "", F.replace(raw, F.concat(r["mark"], r["mark"]), r["mark"])).otherwise(raw), r"(?U)^\s+|\s+$", "")
+        return F.btrim(F.when(r["mark"] != "", F.replace(raw, F.concat(r["mark"], r["mark"]), r["mark"])).otherwise(raw), F.lit(SPACE))
 
     vals = F.filter(F.transform("rule", value), lambda v: v != "")
     return ruled.select("rec_key", "rule", runs.alias("runs")).select("rec_key", F.posexplode(vals)).select("rec_key", (F.col("pos") + 1).cast("int").alias("pos"), F.col("col").alias("val"))

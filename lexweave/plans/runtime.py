@@ -6,7 +6,6 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,11 +25,14 @@ _LOCAL: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir, which all executors share; where that is unset, as in tests on one machine, a
-    temporary folder of this process."""
+    """The session's spark.checkpoint.dir, which all executors share. Where that is unset, a temporary folder of this
+    process in local mode, as in tests, and an error on a cluster, whose executors would each write to their own disk."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not _LOCAL:
         _LOCAL.append(tempfile.mkdtemp(prefix="lexweave-"))
         atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
@@ -44,7 +46,26 @@ def cut(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/lexweave-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def grow(whole: DataFrame, more: DataFrame) -> DataFrame:
+    """The cut table ``whole`` with the rows of ``more`` added to its files, so that a loop writes only what is new."""
+    more.select(*whole.columns).write.mode("append").parquet(whole._cut_path)
+    out = whole.sparkSession.read.schema(whole.schema).parquet(whole._cut_path)
+    out._cut_path = whole._cut_path
+    return out
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Delete the files of cut tables that no plan will read again; other DataFrames are passed over."""
+    for t in tables:
+        if (path := getattr(t, "_cut_path", None)) is not None:
+            where = t.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+            t._cut_path = None
 
 
 def skew_join(left: DataFrame, right: DataFrame, key: str, rows: int, how: str = "left") -> DataFrame:
@@ -64,10 +85,22 @@ def skew_join(left: DataFrame, right: DataFrame, key: str, rows: int, how: str =
     )
 
 
+def salted_join(left: DataFrame, right: DataFrame, key: str, rows: int, how: str = "inner", salts: int = 32) -> DataFrame:
+    """Join ``left`` to a ``right`` side that may hold many rows of a key as well.
+
+    With at most SKEW_ROWS left rows this is an ordinary join. Beyond, the left rows of keys with over HOT_SHARE of them
+    are dealt to ``salts`` groups, and the right rows of just these keys are there once in each group; no row is
+    broadcast but the list of hot keys, at most 1 / HOT_SHARE of them. ``left`` is read twice and should be cut.
+    """
+    if rows <= SKEW_ROWS:
+        return left.join(right, key, how)
+    hot = F.broadcast(left.groupBy(key).count().where((F.col("count") > rows * HOT_SHARE) & F.col(key).isNotNull()).select(key))
+    cold = left.join(hot, key, "left_anti").join(right, key, how)
+    l = left.join(hot, key, "left_semi").withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    r = right.join(hot, key, "left_semi").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return cold.unionByName(l.join(r, [key, "_salt"], how).drop("_salt"))
+
+
 def clean_key(c):
     """Trimmed (any white space) lower-case text, null when nothing is left."""
     return F.nullif(F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", "")), F.lit(""))
-
-
-def empty_like(spark: SparkSession, schema: str, rows: Sequence = ()) -> DataFrame:
-    return spark.createDataFrame(list(rows), schema)
