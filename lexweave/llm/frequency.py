@@ -2,8 +2,8 @@
 
 Records are numbered; the numbers of the records that hold a value are kept per value and range of RANGE numbers as a
 container: the sorted positions within the range, as two-byte numbers or as a bitmap, whichever is shorter, and beside
-them, in the same order, how often the value occurs in each record. Containers are built where the rows are read, so
-what is shuffled is compressed; they merge by union, where a record delivered twice counts once. Document frequency is
+them, in the same order, how often the value occurs in each record. Containers are built straight from the rows, without
+grouping them before, so what is shuffled is compressed; they merge by union, where a record delivered twice counts once. Document frequency is
 the cardinality of the union, and a value that a third of all records hold is still only a container per range.
 """
 
@@ -30,13 +30,13 @@ def pack(pos: np.ndarray, occ: np.ndarray) -> tuple[bytes, bytes]:
         body = b"b" + np.packbits(bits).tobytes()
     else:
         body = b"a" + pos.astype("<u2").tobytes()
-    return body, b"" if (occ == 1).all() else occ.astype("<u4").tobytes()
+    return body, b"" if (occ == 1).all() else occ.astype("<i8").tobytes()
 
 
 def unpack(body: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
     raw = np.frombuffer(body, np.uint8, offset=1)
     pos = np.flatnonzero(np.unpackbits(raw)) if body[:1] == b"b" else raw.view("<u2").astype(np.int64)
-    return pos, np.frombuffer(counts, "<u4").astype(np.int64) if counts else np.ones(len(pos), np.int64)
+    return pos, np.frombuffer(counts, "<i8") if counts else np.ones(len(pos), np.int64)
 
 
 def union(containers: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
@@ -52,41 +52,54 @@ def union(containers: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
 _CONTAINER = "val string, hi bigint, body binary, counts binary"
 
 
-def containers(df: DataFrame, val: Column, record: Column, count: Column) -> DataFrame:
-    """(val, hi, body, counts): partial containers of each task, mergeable by ``union``."""
+def containers(df: DataFrame, val: Column, record: Column, count: Column, starts: Column | None = None) -> DataFrame:
+    """(val, hi, body, counts): partial containers of each task, mergeable by ``union``.
 
-    def build(vals: list, recs: list, occs: list) -> pa.RecordBatch:
+    Rows need no grouping before: within a task the counts of a value's rows are added up as long as they belong to one
+    delivery of a record, which begins where ``starts`` is true (every row, where it isn't given); of several deliveries
+    of a record the largest count is taken.
+    """
+
+    def build(vals: list, recs: list, occs: list, runs: list) -> pa.RecordBatch:
         enc = pa.chunked_array(vals).combine_chunks().dictionary_encode()
-        code, rec, occ = enc.indices.to_numpy(), np.concatenate(recs), np.concatenate(occs)
-        order = np.lexsort((rec, code))
-        code, rec, occ = code[order], rec[order], occ[order]
-        first = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (rec[1:] != rec[:-1])])
-        occ = np.maximum.reduceat(occ, first)
-        code, rec = code[first], rec[first]
+        code, rec, occ, run = enc.indices.to_numpy(), np.concatenate(recs), np.concatenate(occs), np.concatenate(runs)
+        order = np.lexsort((run, rec, code))
+        code, rec, occ, run = code[order], rec[order], occ[order], run[order]
+        new = np.r_[True, (code[1:] != code[:-1]) | (rec[1:] != rec[:-1])]
+        first = np.flatnonzero(new | np.r_[True, run[1:] != run[:-1]])
+        occ, code, rec = np.add.reduceat(occ, first), code[first], rec[first]
+        first = np.flatnonzero(new[first])
+        occ, code, rec = np.maximum.reduceat(occ, first), code[first], rec[first]
         hi = rec // RANGE
-        starts = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (hi[1:] != hi[:-1])])
-        ends = np.r_[starts[1:], len(code)]
-        packed = [pack(rec[a:b] % RANGE, occ[a:b]) for a, b in zip(starts, ends)]
-        return pa.RecordBatch.from_arrays(
-            [enc.dictionary.take(pa.array(code[starts])), pa.array(hi[starts]), pa.array([p[0] for p in packed], pa.binary()), pa.array([p[1] for p in packed], pa.binary())],
-            ["val", "hi", "body", "counts"],
-        )
+        at = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (hi[1:] != hi[:-1])])
+        ends = np.r_[at[1:], len(code)]
+        low = (rec - hi * RANGE).astype("<u2")
+        packed = [pack(low[a:b], occ[a:b]) for a, b in zip(at.tolist(), ends.tolist())]
+        bodies, counts = zip(*packed)
+        return pa.RecordBatch.from_arrays([enc.dictionary.take(pa.array(code[at])), pa.array(hi[at]), pa.array(bodies, pa.binary()), pa.array(counts, pa.binary())], ["val", "hi", "body", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vals, recs, occs, held = [], [], [], 0
+        vals, recs, occs, runs, held, at = [], [], [], [], 0, 0
         for b in batches:
             if not b.num_rows:
                 continue
-            vals.append(b.column(0)), recs.append(b.column(1).to_numpy()), occs.append(b.column(2).to_numpy())
+            new = b.column(3).to_numpy(zero_copy_only=False)
+            if held >= HELD and new[0]:  # the last delivery is complete
+                yield build(vals, recs, occs, runs)
+                vals, recs, occs, runs, held = [], [], [], [], 0
+            of = at + np.cumsum(new)
+            at = int(of[-1])
+            if b.column(0).null_count:  # rows that only begin a delivery
+                ok = np.asarray(b.column(0).is_valid())
+                b, of = b.filter(pa.array(ok)), of[ok]
+            if b.num_rows:
+                vals.append(b.column(0)), recs.append(b.column(1).to_numpy()), occs.append(b.column(2).to_numpy()), runs.append(of)
             held += b.num_rows
-            if held >= HELD:
-                yield build(vals, recs, occs)
-                vals, recs, occs, held = [], [], [], 0
         if held:
-            yield build(vals, recs, occs)
+            yield build(vals, recs, occs, runs)
 
-    rows = df.select(val.alias("val"), record.cast("bigint").alias("rec"), count.cast("bigint").alias("occ")).where("val is not null and rec is not null and occ is not null")
-    return rows.mapInArrow(run, _CONTAINER)
+    rows = df.select(val.alias("val"), record.cast("bigint").alias("rec"), count.cast("bigint").alias("occ"), (F.lit(True) if starts is None else starts).alias("new"))
+    return rows.where("(val is not null or new) and rec is not null and occ is not null").mapInArrow(run, _CONTAINER)
 
 
 def merged(parts: DataFrame) -> DataFrame:
@@ -129,14 +142,14 @@ def _cardinality(body: pa.Array, counts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["df", "occ"])
 
 
-def frequencies(df: DataFrame, val: Column, record: Column, count: Column, n_records: int, rare_at_most: int, common_above: float) -> DataFrame:
+def frequencies(df: DataFrame, val: Column, record: Column, count: Column, n_records: int, rare_at_most: int, common_above: float, starts: Column | None = None) -> DataFrame:
     """(val, n_occurrences, n_records, band) of every value; band is rare, common or null between.
 
-    A record counts once however often its row is repeated. Null values and rows without a record number aren't counted;
-    a value is taken as it stands, so the empty one is a value unless left out before. A value within the rare limit is
-    rare even if so few records make it common too. ``n_records`` is the number of all records, those without a value
-    included. An empty table gives an empty result.
+    A record counts once however often its row is repeated; its count is that of ``containers``. Null values and rows
+    without a record number aren't counted; a value is taken as it stands, so the empty one is a value unless left out
+    before. A value within the rare limit is rare even if so few records make it common too. ``n_records`` is the number
+    of all records, those without a value included. An empty table gives an empty result.
     """
-    c = merged(containers(df, val, record, count)).withColumn("n", _cardinality("body", "counts"))
+    c = merged(containers(df, val, record, count, starts)).withColumn("n", _cardinality("body", "counts"))
     f = c.groupBy("val").agg(F.sum("n.occ").alias("n_occurrences"), F.sum("n.df").alias("n_records"))
     return f.withColumn("band", F.when(F.col("n_records") <= rare_at_most, "rare").when(F.col("n_records") > common_above * n_records, "common"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexweave.llm import distinct, frequency, leakage, lookalike, markup, packing, readability
 from lexweave.operators.packed import split_packed
 from lexweave.operators.shred import assemble, shred
-from lexweave.plans.runtime import clean_key, table
+from lexweave.plans.runtime import clean_key, cut, table
 
 _COMBOS = {"major": (1, "any"), "minor": (2, "any"), "all": (3, "any"), "both": (3, "all")}
 
@@ -78,16 +78,22 @@ def p4_clean(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).distinct()
 
 
+#: Entries whose numbers agree after division by this are kept together, so that their containers are dense.
+NEAR = 4096
+
+
 def _frequencies(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "entries")
-    n = e.agg(F.count_distinct("entry_id")).first()[0]
-    vals = split_packed(e, F.col("entry_id").cast("string"), F.col("templates"))
-    name = F.trim(F.regexp_replace("val", r"=\s*\d+\s*$", ""))
-    times = F.coalesce(F.try_to_number(F.nullif(F.regexp_extract("val", r"=\s*(\d{1,9})\s*$", 1), F.lit("")), F.lit("999999999")).cast("bigint"), F.lit(1).cast("bigint"))
-    # a value that a record holds at several positions: their sum
-    per = vals.select("rec_key", name.alias("val"), times.alias("n")).where("val <> ''").groupBy("rec_key", "val").agg(F.sum("n").alias("n"))
-    t = frequency.frequencies(per, F.col("val"), F.col("rec_key").cast("bigint"), F.col("n"), n, 2, 0.1)
-    lang = frequency.frequencies(e.where("language <> ''"), F.col("language"), F.col("entry_id"), F.lit(1), n, 2, 0.1)
+    """Templates and languages with their numbers. The number of all entries is a container as well: that of the value ""
+    among the languages, which every entry holds besides its language."""
+    e = table(spark, d, "entries").where("entry_id is not null")
+    held = F.array_distinct(F.array(F.lit(""), F.coalesce("language", F.lit(""))))
+    lang = cut(frequency.frequencies(e.select("entry_id", F.explode(held).alias("v")), F.col("v"), F.col("entry_id"), F.lit(1), 0, 2, 0.1).drop("band"))
+    n = (lang.where("val = ''").first() or (0, 0, 0))[2]
+    vals = split_packed(e, F.col("entry_id"), F.col("templates"), F.floor(F.col("entry_id") / NEAR))
+    named = vals.withColumn("name", F.trim(F.regexp_replace("val", r"=\s*\d+\s*$", "")))
+    times = F.coalesce(F.nullif(F.regexp_extract("val", r"=\s*(\d+)\s*$", 1), F.lit("")).try_cast("bigint"), F.lit(1).cast("bigint"))
+    t = frequency.frequencies(named, F.nullif("name", F.lit("")), F.col("rec_key"), times, n, 2, 0.1, F.col("pos") == 1)
+    lang = lang.where("val <> ''").withColumn("band", F.when(F.col("n_records") <= 2, "rare").when(F.col("n_records") > 0.1 * n, "common"))
     return t.select(F.lit("entries.templates").alias("source_field"), "*").unionByName(lang.select(F.lit("entries.language").alias("source_field"), "*"))
 
 
@@ -150,7 +156,6 @@ k AS (SELECT * FROM r WHERE who IS NOT NULL AND who NOT IN ('', '-')),
 g AS (SELECT edit_day, CASE WHEN m THEN 'minor' ELSE 'major' END AS grp, who, id FROM k UNION ALL SELECT edit_day, 'all', who, id FROM k),
 c AS (SELECT edit_day, grp, count(DISTINCT who) AS n_contributors, count(DISTINCT id) AS n_revisions FROM g GROUP BY ALL)
 """
-_LANG = "SELECT language AS val, count(DISTINCT entry_id) AS n FROM entries WHERE language <> '' AND entry_id IS NOT NULL GROUP BY 1"
 ORACLE = {
     "p1_found": _P1 + "SELECT edit_day, grp FROM c WHERE n_revisions > 0 AND 2 * n_contributors >= n_revisions",
     "p1_counts": _P1 + "SELECT edit_day, grp, n_contributors, n_revisions FROM c WHERE n_revisions > 0",

@@ -61,6 +61,10 @@ def test_frequencies(spark, monkeypatch):
     df = spark.createDataFrame(data, "v string, rec long, n long").withColumn("hi", F.lit("clash")).withColumn("body", F.lit(1)).repartition(5)
     got = {r.val: (r.n_occurrences, r.n_records, r.band) for r in frequency.frequencies(df, F.col("v"), F.col("rec"), F.col("n"), 100, 2, 0.1).collect()}
     assert got == {"m": (100, 50, "common"), "rare": (6, 2, "rare"), "mid": (3, 3, None), "": (1, 1, "rare")}
+    # record 1 comes twice, once with an unnamed value first: its counts are added up within a delivery, not across
+    again = spark.createDataFrame([("a", 1, 1, True), ("a", 1, 2, False), (None, 1, 1, True), ("a", 1, 2, False), ("a", 2, 1, True)], "v string, rec long, n long, s boolean").coalesce(1)
+    (r,) = frequency.frequencies(again, F.col("v"), F.col("rec"), F.col("n"), 2, 0, 0.1, F.col("s")).collect()
+    assert (r.n_occurrences, r.n_records) == (4, 2)
     assert frequency.frequencies(df.limit(0), F.col("v"), F.col("rec"), F.col("n"), 0, 2, 0.1).count() == 0
 
 
