@@ -68,7 +68,13 @@ def release(*tables: DataFrame | None) -> None:
             t._cut_path = None
 
 
-def skew_join(left: DataFrame, right: DataFrame, key: str, rows: int, how: str = "left") -> DataFrame:
+def _hot(left: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """The keys with over HOT_SHARE of the rows, at most 1 / HOT_SHARE of them, marked for broadcast."""
+    hot = left.dropna(subset=keys).groupBy(*keys).count().where(F.col("count") > rows * HOT_SHARE)
+    return F.broadcast(hot.select(*keys))
+
+
+def skew_join(left: DataFrame, right: DataFrame, key: str | list[str], rows: int, how: str = "left") -> DataFrame:
     """Join many ``left`` rows to a ``right`` side that is unique on ``key``.
 
     With at most SKEW_ROWS left rows this is an ordinary join. Beyond, keys that hold over HOT_SHARE of the left rows
@@ -77,8 +83,7 @@ def skew_join(left: DataFrame, right: DataFrame, key: str, rows: int, how: str =
     """
     if rows <= SKEW_ROWS:
         return left.join(right, key, how)
-    hot = left.groupBy(key).count().where((F.col("count") > rows * HOT_SHARE) & F.col(key).isNotNull()).select(key)
-    hot = F.broadcast(hot)
+    hot = _hot(left, [key] if isinstance(key, str) else key, rows)
     cold = left.join(hot, key, "left_anti")
     return cold.join(right, key, how).unionByName(
         left.join(hot, key, "left_semi").join(F.broadcast(right.join(hot, key, "left_semi")), key, how)
@@ -90,15 +95,15 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, rows: int, how: str
 
     With at most SKEW_ROWS left rows this is an ordinary join. Beyond, the left rows of keys with over HOT_SHARE of them
     are dealt to ``salts`` groups, and the right rows of just these keys are there once in each group; no row is
-    broadcast but the list of hot keys, at most 1 / HOT_SHARE of them. ``left`` is read twice and should be cut.
+    broadcast but the list of hot keys. ``left`` is read twice and should be cut.
     """
     if rows <= SKEW_ROWS:
         return left.join(right, key, how)
-    hot = F.broadcast(left.groupBy(key).count().where((F.col("count") > rows * HOT_SHARE) & F.col(key).isNotNull()).select(key))
+    hot = _hot(left, [key], rows)
     cold = left.join(hot, key, "left_anti").join(right, key, how)
-    l = left.join(hot, key, "left_semi").withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
-    r = right.join(hot, key, "left_semi").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return cold.unionByName(l.join(r, [key, "_salt"], how).drop("_salt"))
+    dealt = left.join(hot, key, "left_semi").withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    copies = right.join(hot, key, "left_semi").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return cold.unionByName(dealt.join(copies, [key, "_salt"], how).drop("_salt"))
 
 
 def clean_key(c):
