@@ -51,10 +51,11 @@ def _whole(c: str, form=lambda x: x):
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    n = table(spark, d, "node")
-    nodes = lookalike.alike_pairs(n, F.col("node_id").cast("string"), F.col("language"), F.col("term"), F.col("node_id"))
-    langs = lookalike.alike_pairs(table(spark, d, "language_data"), F.col("code"), F.lit(""), _whole("normalization"), F.col("code"))
-    return nodes.select(F.lit("node.term").alias("source_field"), "*").unionByName(langs.select(F.lit("language_data.normalization").alias("source_field"), "*"))
+    """Both sources in one pass; the group is the source with the language, and normalizations are one group."""
+    n = table(spark, d, "node").select(F.concat(F.lit("node.term" + _END), F.col("language")).alias("g"), F.col("node_id").alias("o"), F.col("node_id").cast("string").alias("k"), F.col("term").alias("t"))
+    s = table(spark, d, "language_data").select(F.lit("language_data.normalization" + _END).alias("g"), F.lit(0).cast("bigint").alias("o"), F.col("code").alias("k"), _whole("normalization").alias("t"))
+    pairs = lookalike.alike_pairs(n.unionByName(s), F.col("k"), F.col("g"), F.col("t"), F.struct("o", "k"))
+    return pairs.select(F.substring_index("within", _END, 1).alias("source_field"), "key_a", "key_b")
 
 
 def p3_forms(spark: SparkSession, d: str) -> DataFrame:

@@ -78,6 +78,24 @@ def test_not_alike(a, b):
     assert lookalike.canonical(a) != lookalike.canonical(b)
 
 
+@pytest.mark.parametrize("text, verdict", [("cape", "plain"), ("саре", "whole"), ("cаpe", "mixed"), (" cape", "variant"), ("ｆit", "variant"), ("ꓮꓔ", "whole"), ("год", "plain"), ("l\u0435gal год", "mixed"), ("ΑΤ now", "whole")])
+def test_verdict(text, verdict):
+    assert lookalike.inspect(text)[1] == verdict
+
+
+@pytest.mark.parametrize("a, b", [("օ", "o"), ("Ꭺ", "A"), ("ꓮ", "A"), ("ρ", "p"), ("υ", "u"), ("ϲ", "c"), ("ɑ", "a"), ("ɡ", "g"), ("Ӏ", "I"), ("ӏ", "l"), ("Ⅰ", "I"), ("re−do", "re-do"), ("Ⲣ", "P"), ("µ", "μ"), ("əl", "әl"), ("l’ʼa", "lʼ’a")])
+def test_letters_of_one_shape(a, b):
+    assert lookalike.canonical(a) == lookalike.canonical(b)
+
+
+def test_hot_spelling_is_paired_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(lookalike, "PIECE", 5)
+    data = [(i, "en", "cape" if i % 3 else "саре") for i in range(60)] + [(60, "en", "ｃape"), (61, "de", "cape")]
+    df = spark.createDataFrame(data, "id long, lang string, term string")
+    got = {(r.key_a, r.key_b) for r in lookalike.alike_pairs(df, F.col("id"), F.col("lang"), F.col("term"), F.col("id")).collect()}
+    assert got == {(a, b) for a, g, t in data for b, h, u in data if a < b and g == h and t != u}
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=20))
 def test_canonical_is_stable(t):
@@ -88,7 +106,7 @@ def test_canonical_is_stable(t):
 def test_alike_pairs(spark, rows):
     data = [(2, "en", "cape"), (10, "en", "саре"), (10, "en", "саре"), (3, "en", "cape"), (4, "de", "саре"), (5, None, "cape"), (6, "en", None), (None, "en", "cаpe"), (7, "en", ""), (8, "en", "​" * 5000), (9, "en", "Cape")]
     df = spark.createDataFrame(data, "id long, lang string, term string").withColumn("k", F.lit("clash")).withColumn("c", F.lit("clash"))
-    assert rows(lookalike.alike_pairs(df, F.col("id").cast("string"), F.col("lang"), F.col("term"), F.col("id"))) == [("2", "10"), ("3", "10"), ("7", "8")]
+    assert rows(lookalike.alike_pairs(df, F.col("id").cast("string"), F.col("lang"), F.col("term"), F.col("id"))) == [("en", "2", "10"), ("en", "3", "10"), ("en", "7", "8")]
     assert lookalike.alike_pairs(df.limit(0), F.col("id").cast("string"), F.col("lang"), F.col("term"), F.col("id")).count() == 0
     assert {r.n_spellings for r in lookalike.alike_classes(df, F.col("id"), F.col("lang"), F.col("term")).where("key = 2").collect()} == {2}
 
