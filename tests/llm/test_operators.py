@@ -179,26 +179,64 @@ def test_token_counts(spark, rows):
 ITEM = "The adverb togas came into Mibasari for big cattle work, which Swedish noted. Nobody copied favov along a distant custom beside korid, which Old English carried. The ending -ra was replaced beside kuzot until some harvest carried the bird."
 
 
-def test_leakage(spark):
+@pytest.mark.parametrize("chars", [10**6, 0])
+def test_leakage(spark, monkeypatch, chars):
+    """By broadcast and, with no room for that, by shuffle."""
+    monkeypatch.setattr(leakage, "BLOCK_CHARS", chars)
     words = ITEM.split()
     cut_ = " ".join(words[5:20])
     docs = [
         (1, "Before. " + ITEM.upper()), (2, " ".join(words[:14]) + " something else entirely stands here now and goes on " + " ".join(words[14:28])), (3, "Nothing to see"), (4, None), (5, ""), (6, cut_.replace("cattle", "sheep").replace("e", "е")),
-        (7, "x " * 30000 + ITEM), (1, "Before. " + ITEM.upper()), (8, " ".join(words[:6])),
+        (7, "x " * 30000 + ITEM), (1, "Before. " + ITEM.upper()), (8, " ".join(words[:6])), (9, ITEM.lower()),
     ]
     d = spark.createDataFrame(docs, "id long, t string").withColumn("item_id", F.lit("clash"))
     i = spark.createDataFrame([(10, ITEM), (10, ITEM), (11, None), (12, ""), (13, "one two")], "i long, t string")
-    got = sorted((r.doc_id, r.item_id) for r in leakage.leaked(d, F.col("id"), F.col("t"), i, F.col("i"), F.col("t"), 1 / 3).collect())
-    assert got == [(1, 10), (2, 10), (6, 10), (7, 10)]
+    got = sorted((r.doc_id, r.item_id) for r in leakage.leaked(d, F.col("id"), F.col("t"), i, F.col("i"), F.col("t")).collect())
+    assert got == [(1, 10), (2, 10), (6, 10), (7, 10), (9, 10)]
     assert leakage.leaked(d, F.col("id"), F.col("t"), i.limit(0), F.col("i"), F.col("t")).count() == 0
     assert leakage.leaked(d.limit(0), F.col("id"), F.col("t"), i, F.col("i"), F.col("t")).count() == 0
 
 
-def test_slots_filled_alike_are_told_apart():
-    items = leakage.Items([(1, "When the Latin word was taken into Dutch it had 12 forms and the Latin people kept 7 of the forms in use")])
+def test_hot_window_by_shuffle(spark, monkeypatch):
+    """The same rows by both joins where one window is in every document and its rows are dealt out."""
+    from lexweave.plans import runtime
+
+    rnd = random.Random(4)
+    words = [f"w{k}" for k in range(300)]
+    items = [(k, " ".join(rnd.choices(words, k=24)) + " the same few words end here") for k in range(12)]
+    docs = [(k, " ".join(rnd.choices(words, k=30)) + " the same few words end here " + (items[k % 12][1][: 40 + k] if k % 3 else "")) for k in range(60)]
+    d, i = spark.createDataFrame(docs, "id long, t string"), spark.createDataFrame(items, "i long, t string")
+    find = lambda: sorted(tuple(r) for r in leakage.leaked(d, F.col("id"), F.col("t"), i, F.col("i"), F.col("t")).collect())
+    want = find()
+    monkeypatch.setattr(leakage, "BLOCK_CHARS", 0)
+    monkeypatch.setattr(runtime, "SKEW_ROWS", 0)
+    assert len(want) > 20 and find() == want
+
+
+TURIN = "A train left Turin at 81 km per hour while Ada walked 12 miles from Milan to Como with 3 bags and 40 dollars"
+
+
+def test_items_asked_again_with_other_values():
+    items = leakage.Items([(1, "When the Latin word was taken into Dutch it had 12 forms and the Latin people kept 7 of the forms in use"), (2, TURIN)])
     same = "When the Spanish word was taken into Dutch it had 15 forms and the Spanish people kept 7 of the forms in use"
-    ((_, share, template),) = leakage.matches(items, same, 0.3)
+    ((_, share, template),) = leakage.matches(items, same)
     assert share < template
+    other = "A train left Lyon at 90 km per hour while Bob walked 15 miles from Brest to Nantes with 5 bags and 70 dollars"
+    ((item, share, template),) = leakage.matches(items, other)
+    assert item == 2 and share < 0.7 and template == 1
+    slots = leakage.Items([(3, "then Turin 81 km Milan 12 miles Como 3 kg Rome 5 days Pisa 9 lb")])
+    ((_, share, template),) = leakage.matches(slots, "then Lyon 90 mi Brest 15 feet Nantes 8 oz Tours 6 weeks Caen 2 kg")
+    assert share < 1 / 3 and template == 1
+    mixed = "A train left Lyon at 90 km per hour while Bob walked 15 miles from Brest to Nantes. So far the story of the train."
+    assert not leakage.matches(leakage.Items([(4, mixed)]), "Lyon and 90 others went by train for one hour to see Bob in Brest")
+
+
+@pytest.mark.parametrize("n, k, found", [(15, 5, True), (15, 6, True), (15, 4, False), (12, 4, True), (9, 3, True), (6, 3, True), (30, 10, True), (30, 11, True), (30, 9, False)])
+def test_a_verbatim_third_is_found(n, k, found):
+    words = [f"word{chr(97 + j)}" for j in range(26)] + ["more", "of", "them", "here"]
+    items = leakage.Items([(1, " ".join(words[:n]))])
+    text = "quite another text begins " + " ".join(words[2 : 2 + k]) + " and goes on in its own way"
+    assert bool(leakage.matches(items, text)) is found
 
 
 def test_reading_levels(spark):
