@@ -33,11 +33,33 @@ ENGLISH = 0.06
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*")
 _END = re.compile(r"[.!?…]+[\"'”’)\]]*(?=\s|$)")
-_VOWELS = re.compile(r"[aeiouyà-æè-ïò-öù-ý]+")
-#: Ends and middles that the groups of vowels count wrongly, as (pattern, syllables to add).
-_RULES = [(re.compile(p), n) for p, n in (
-    (r"[^aeiouy]e$", -1), (r"[^aeiouy]es$", -1), (r"[^aeiouydt]ed$", -1), (r"[^aeiouy]le$", 1), (r"(?:s|x|z|ch|sh|[cg])es$", 1),
-    (r"[^aeiouy]ely$", -1), (r"[aeiouy]ing$", 1), (r"i[ao](?!u)(?!n$)", 1), (r"[cst]i[ao]", -1), (r"io(?=n[a-z])", 0), (r"[aeiou]um?[aeo]$", 0), (r"eo", 1), (r"ua(?!y)", 1), (r"qua", -1), (r"ism$", 1), (r"[^aeiou]ement", -1),
+_VOWELS = re.compile(r"[aeiouyà-æè-ïò-öù-ýœ]+")
+_V, _C = "[aeiouy]", "[^aeiouy]"
+#: Spellings, as in hyphenation patterns, in which vowels belong to two syllables (parted by "-") or an e is
+#: silent (left out), as (pattern, replacement), applied in order; what no pattern parts is one syllable.
+_PATTERNS = [(re.compile(p), r) for p, r in (
+    # y before a vowel is a consonant, but not in -ying and after a leading consonant
+    (rf"({_C})yi", r"\1y-i"), (rf"^({_C}+)y(?=[aeou])", r"\1y-"), (r"(?<=[aeiou])y(?=[aeiou])", "j"), (r"^y(?=[aeiou])", "j"), (rf"(?<={_C})y(?=[aeou])", "j"),
+    # silent u
+    (r"qu", "q"), (r"gu(?=[aei][^\W])", "g"), (r"g?ues?$", lambda m: "g" if m[0][0] == "g" else m[0]), (r"suad|suav", "swad"), (r"qes?$", "q"),
+    # an e that only closes the part before it
+    (r"^(some|there|where|here|fore|home|make|take|like|more|care|fire|life|wide|ware|side|name|note|time|line|base|house|horse|drive|trade|state|safe|grave|white|bride|stone|score|store|fare|vine)(?=[^aeiouyrsdl\W]|s[^\W]|l[aeiouy])", lambda m: m[1][:-1]),
+    (rf"(?<={_V}{_C})(?<!^el)e(?=(?:ful|less|ness|ments?|ly|li(?=ness|hood)|thing|where|times?|work|fore|hood|ship|side|land|ways?|man|men|room)(?:ly|ness|s|es|ally)?$)", ""), (r"(?<=[aeiouy][^aeiouylrw][^aeiouylrw])e(?=(?:ful|less|ness|ments?|ly)(?:ly|ness)?$)", ""),
+    (r"(?<=[^aeiouyt])e(?=ty$)", ""), (r"(?<=[fn])e(?=ty$)", ""),
+    (r"(?<=troph|recip|simil|pitom|yncop|pocop|cdoch|erbol|astol)e(?=s?$)", "i"), (r"(?<=med)ie(?=v)", "i-e"),
+    # endings: -ed, -es and -e; a consonant with l or r keeps its e
+    (rf"(?<={_C}[lr])ed$", "id"), (r"(?<=[^aeiouytd])ed$", "d"), (r"(?<=[aeiouy])ed$", "d"), (r"(?<=[aeiou][lr])es$", "s"), (rf"(?<=[^aeiouylr\W])les?$", "il"), (rf"(?<={_C})res?$", "ir"),
+    (r"(?<=[scgxz])es$", "is"), (r"(?<=[sc]h)es$", "is"), (rf"(?<={_V})es$", "s"), (rf"(?<={_C})es$", "s"), (rf"(?<={_C})e$", ""),
+    # i before a vowel: one syllable after c, t, s, g and in -lli-, -ni-; two elsewhere
+    (r"([ct])i(?=a(?:t|bl|s)|o[ln]?log)", r"\1i-"), (r"(?<!s)([ct])i(?=en|a|ou)|(n)i(?=en)", r"\1\2"), (r"([ctsxg])i(?=on|ous)", r"\1"), (r"s(s?)i(?=an\b|ans\b|a\b)", r"s\1"), (r"(ll|n)i(?=ons?\b|ona|ar|ant|or)", r"\1"), (r"(?<=[rv])iag", "ig"), (r"li(?=ament|ars?$|arit)", "l"),
+    (r"vior", "vjor"), (r"i(?=[aou])(?!ou?$)", "i-"), (r"i(?=o$|os$|ou)", "i-"), (r"i(?=e(?:t|nc|nt|r$|rs$|st$|ty))(?<!fi)(?<!^pi)(?<!^ti)(?<!shi)(?<!fri)(?<!nti)(?<!ldi)", "i-"), (r"(?<=f)i(?=er$|est$)", "i-"), (r"(?<=[fl]i)(?=e(?:nc|nt|ty))", "-"), (r"ii", "i-i"),
+    # e before a vowel
+    (r"([gc])eou", r"\1ou"), (r"(?<=[gch])eo(?=ns?$)", "o"), (r"(?<=p)eo(?=p[li])|(?<=[lj])eo(?=pard)", "e"), (r"e(?=ou|o)", "e-"), (r"(?<=cr)ea(?=t(?!u))|(?<=r)ea(?=ct|lit|lis|liz|ll?oc|dj)|(?<=ar)ea|(?<=id)ea|(?<=lin)ea(?=r)|(?<=nucl)ea(?=r)|(?<=th)ea(?=t|tr)|(?<=pan[ac])ea", "e-a"),
+    (r"(?<=c)ea(?=n(?:s|ic)?$)", "a"), (r"e(?=ing|um|us$)", "e-"), (r"ee(?=[aiou])", "e-"), (r"(?<=^r)e(?=e[nmstlv]|i[nmt])|(?<=pr)e(?=e[mx]|i)", "e-"),
+    # other pairs
+    (r"a(?=ic|o|ist|ism)", "a-"), (r"o(?=ing|ic|ist|ism|ed?ie|em|et$|ets|et[ri])(?!ing?t)", "o-"), (r"(?<=^c)o(?=op|ord|in[c]|ex|au)|(?<=z)o(?=olog)", "o-"), (r"u(?=a|ou|o|el|en[ct]|ity|itou|ition|itive|um)", "u-"), (r"(?<=[fr]l)u(?=i)|(?<=r)u(?=in)|(?<=s)u(?=ici)|(?<=en)u(?=i)|(?<=tr)u(?=is)", "u-"),
+    # a nasal or liquid as a syllable
+    (r"([st]h?)ms?$", r"\1im"),
 )]
 
 
@@ -45,11 +67,11 @@ def syllables(word: str) -> int:
     """At least 1 for any word; the parts of a hyphenated word are counted apart."""
     if "-" in word:
         return sum(syllables(p) for p in word.split("-") if p)
-    w = word.lower().replace("'", "").replace("’", "")
-    n = len(_VOWELS.findall(w))
-    if len(w) > 3:
-        n += sum(k for rx, k in _RULES if rx.search(w))
-    return max(1, n)
+    w = word.lower().replace("’", "'").split("'")[0] or word.lower()
+    if len(w) > 2:
+        for rx, to in _PATTERNS:
+            w = rx.sub(to, w)
+    return max(1, len(_VOWELS.findall(w)))
 
 
 class _Syllables(dict):
