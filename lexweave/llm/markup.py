@@ -8,7 +8,8 @@ and >, ~, single braces and brackets, [sic], $5, C#, a_b.
 Blocks are then classed in two passes. The first decides by length, stop-word density and link density: a block of
 links is ``link``, a long block with stop words ``text``, and short ones stay open unless they are headings, code or
 formulas. In the second, open blocks take the label of the nearest decided neighbour, the earlier one on a tie, ``text``
-where there is none.
+where there is none. The labels decide the main text: blocks of links are left out of it, and headings that nothing but
+such blocks follow. Whether a text holds residue doesn't depend on them, as residue counts in a block of any label.
 """
 
 from __future__ import annotations
@@ -20,21 +21,28 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
+from lexweave.llm.readability import FUNCTION_WORDS
+
 #: Names of HTML and wiki elements.
 TAGS = """a abbr article aside b big blockquote body br button caption center cite code col colgroup dd del details dfn div dl dt em
 figcaption figure font footer form gallery h1 h2 h3 h4 h5 h6 head header hr html i iframe img input ins kbd label li link main
 math meta nav noinclude nowiki object ol onlyinclude includeonly option p pre q ref references s samp script section select
 small source span strike strong style sub summary sup svg syntaxhighlight table tbody td textarea tfoot th thead title tr tt u ul var video wbr""".split()
-#: Frequent function words of the languages at hand.
-STOP = frozenset("the of and a to in is was that it for with as by from this but not or be at on are le la les de des et un une du en est que der die das und ist von zu den el los y es un una et in est ad non cum".split())
+#: The density of stop words is that of the language which has most of them in the block.
+STOP: dict[str, tuple[str, ...]] = {}
+for _lang, _words in FUNCTION_WORDS.items():
+    for _w in _words:
+        STOP[_w] = (*STOP.get(_w, ()), _lang)
 LONG, DENSE, LINKS = 60, 0.2, 0.5
 
 _T = "|".join(TAGS)
+#: The rest of a tag: attributes, whose quoted values may hold any character, or whatever stands before the next >.
+_REST = r"""(?:(?:\s(?:[^<>"']++|"[^"\n]*"|'[^'\n]*')*+)?/?>|\s[^<>]*>)"""
 _CODE = ("\x02", "\x03")  # around code, so that nothing in it is taken for markup
 _rx = lambda p, f=0: re.compile(p, f)
 _KEPT, _TABS, _SPACES = _rx(r"\x02(\d+)\x03"), _rx(r"[ \t]*\t[ \t]*"), _rx(r"[ \t]+")
 #: What any markup needs; a text without it is passed through.
-_HINT = _rx(r"<[/!A-Za-z]|[\[\]{}]{2}|''|__|~~|`|\\|\*\S|&#?\w+;|\]\(|https?://|\$|(?m:^[ \t]*(?:[#>|=*+-]|\d+[.)] ))|(?<!\w)_\w|#REDIRECT|\{\||\|\}")
+_HINT = _rx(r"<[/!A-Za-z]|[\[\]{}]{2}|''|__|~~|`|\\|\*\S|&#?\w+;|\]\(|https?://|\$|ftp://|(?m:^[ \t]*(?:[#>|=*+;:-]|\d+[.)] ))|(?<!\w)_\w|#REDIRECT|\{\||\|\}")
 _COMMENT = _rx(r"<!--.*?(?:-->|\Z)", re.S)
 _DROPPED = _rx(r"<(script|style|head)\b[^<>]*>.*?</\1\s*>", re.S | re.I)
 _PRE = _rx(r"<pre\b[^<>]*>\s*(?:<code\b[^<>]*>)?(.*?)(?:</code>)?\s*</pre\s*>|<(syntaxhighlight|code|nowiki)\b[^<>/]*>(.*?)</\2\s*>", re.S | re.I)
@@ -45,8 +53,9 @@ _HEAD_TAG = _rx(r"<h([1-6])\b[^<>]*>(.*?)</h\1\s*>", re.S | re.I)
 _BREAK = _rx(r"<(?:br|hr)\s*/?>", re.I)
 _ITEM_TAG = _rx(r"<li\b[^<>]*>", re.I)
 _CELL = _rx(r"</t[dh]\s*>\s*(?=<t[dh]\b)", re.I)
-_BLOCK_TAG = _rx(r"</?(?:p|div|ul|ol|dl|dt|dd|table|tbody|thead|tfoot|tr|section|article|blockquote|li|figure|header|footer|nav|pre)\b[^<>]*>", re.I)
-_TAG = _rx(rf"</?(?:{_T})(?:\s[^<>]*)?/?>", re.I)
+_BLOCK_TAG = _rx(r"</?(?:p|div|ul|ol|dl|dt|dd|table|tbody|thead|tfoot|tr|section|article|blockquote|li|figure|header|footer|nav|pre)" + _REST, re.I)
+_TAG = _rx(rf"</?(?:{_T}){_REST}", re.I)
+_CLOSED = _rx(r"</([A-Za-z][\w:.-]*)\s*>")
 _ESC_TAG = _rx(rf"&lt;/?(?:{_T})(?:\s[^<>]*?)?/?&gt;", re.I)
 _ENTITY = _rx(r"&(?:[A-Za-z][A-Za-z0-9]{1,30}|#\d{1,7}|#[xX][0-9A-Fa-f]{1,6});")
 _REDIRECT = _rx(r"^\s*#REDIRECT:?\s*", re.I)
@@ -85,6 +94,7 @@ _NUMBER = _rx(r"^[ \t]*\d{1,3}[.)][ \t]+(?=\S)")
 _QUOTE = _rx(r"^[ \t]*>[ \t]?")
 
 
+_KNOWN = frozenset(TAGS)
 #: What must be in a text for a pattern to match at all.
 _NEEDS = {
     _COMMENT: "<!--", _DROPPED: "<", _PRE: "<", _MATH_TAG: "<", _REF: "<", _HEAD_TAG: "<", _BREAK: "<", _ITEM_TAG: "<", _CELL: "<", _BLOCK_TAG: "<", _TAG: "<",
@@ -122,7 +132,7 @@ class _Doc:
     def inline(self, s: str) -> str:
         if not _INLINE.search(s):
             return s
-        for _ in range(8):  # templates and links nest; each round resolves the innermost
+        while True:  # templates and links nest; each round resolves the innermost
             before = self.n
             s = self.sub(_PARAM, lambda m: m[2] if m[2] is not None else "", s)
             s = self.sub(_TEMPLATE, self.template, s)
@@ -145,7 +155,7 @@ class _Doc:
     def tex(self, s: str) -> str:
         s = self.sub(_TEX_ACCENT, lambda m: (m[2] or m[3] or m[5]) + _MARKS[m[1] or m[4]], s)
         s = self.sub(_TEX_ENV, "", s)
-        for _ in range(8):
+        while True:
             before = self.n
             s = self.sub(_TEX_GROUP, r"\1", s)
             if self.n == before:
@@ -188,6 +198,9 @@ def convert(text: str) -> tuple[list[tuple[str, int, str, float]], int]:
     s = d.sub(_CELL, "\t", s)
     s = d.sub(_BREAK, "\n", s)
     s = d.sub(_BLOCK_TAG, "\n", s)
+    if "</" in s:  # elements that no list has, where they are closed
+        for name in {m[1].lower() for m in _CLOSED.finditer(s)} - _KNOWN:
+            s = d.sub(re.compile(rf"</?{re.escape(name)}{_REST}", re.I), "", s)
     s = d.sub(_REDIRECT, "", s)
     s = d.tex(s) if "\\" in s else s
     s = d.sub(re.compile(r"\\frac\s*\{[^{}]*\}\s*\{[^{}]*\}|\\sqrt\s*\{[^{}]*\}"), lambda m: keep("inline", _formula(m[0])), s) if "\\" in s else s
@@ -255,6 +268,14 @@ def convert(text: str) -> tuple[list[tuple[str, int, str, float]], int]:
     return [tuple(b) for b in blocks], d.n
 
 
+def _stops(words: list[str]) -> int:
+    n: dict[str, int] = {}
+    for w in words:
+        for lang in STOP.get(w, ()):
+            n[lang] = n.get(lang, 0) + 1
+    return max(n.values(), default=0)
+
+
 def classify(blocks: list[tuple[str, int, str, float]]) -> list[str]:
     """A label per block: heading, code, formula, link or text."""
     labels: list[str | None] = []
@@ -265,7 +286,7 @@ def classify(blocks: list[tuple[str, int, str, float]]) -> list[str]:
         words = text.lower().split()
         if links >= LINKS:
             labels.append("link")
-        elif len(text) >= LONG and sum(w in STOP for w in words) >= DENSE * len(words):
+        elif len(text) >= LONG and _stops(words) >= DENSE * len(words):
             labels.append("text")
         else:
             labels.append(None)
@@ -295,25 +316,49 @@ def render(blocks: list[tuple[str, int, str, float]]) -> str:
     return "\n".join(out).strip("\n")
 
 
-_OUT = pa.struct([("n_markup", pa.int32()), ("clean", pa.string()), ("kinds", pa.list_(pa.string())), ("labels", pa.list_(pa.string()))])
+def main_blocks(blocks: list[tuple[str, int, str, float]], labels: list[str]) -> list[tuple[str, int, str, float]]:
+    """The blocks that aren't links, and the headings that lead to such a block before one of their level or above."""
+    out: list[tuple[str, int, str, float]] = []
+    open_: list[tuple[str, int, str, float]] = []
+    for block, label in zip(blocks, labels):
+        if label == "heading":
+            open_ = [h for h in open_ if h[1] < block[1]] + [block]
+        elif label != "link":
+            out += [*open_, block]
+            open_ = []
+    return out
 
 
 def clean_documents(df: DataFrame, key: Column, text: Column) -> DataFrame:
-    """(rec_key, n_markup, clean, kinds, labels): each text converted whole, with a kind and a label per block.
+    """(rec_key, n_markup, clean, main, kinds, labels): each text converted whole, with a kind and a label per block.
 
-    A null text gives n_markup 0 and a null clean text, an empty one an empty text without blocks. Repeated rows come out
-    repeated; rows are independent of each other, so ties don't arise and the plan has no shuffle.
+    clean has all blocks, main those that the labels keep. A null text gives n_markup 0 and null texts, an empty one
+    empty texts without blocks. Repeated rows come out repeated; rows are independent of each other, so ties don't arise
+    and the plan has no shuffle.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ns, cleans, kinds, labels = [], [], [], []
+            ns, cleans, mains, kinds, labels = [], [], [], [], []
             for t in b.column(1).to_pylist():
                 blocks, n = convert(t) if t else ([], 0)
+                label = classify(blocks)
                 ns.append(n)
                 cleans.append(None if t is None else render(blocks))
+                mains.append(None if t is None else render(main_blocks(blocks, label)))
                 kinds.append([x[0] for x in blocks])
-                labels.append(classify(blocks))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ns, pa.int32()), pa.array(cleans, pa.string()), pa.array(kinds, pa.list_(pa.string())), pa.array(labels, pa.list_(pa.string()))], ["rec_key", "n_markup", "clean", "kinds", "labels"])
+                labels.append(label)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ns, pa.int32()), pa.array(cleans, pa.string()), pa.array(mains, pa.string()), pa.array(kinds, pa.list_(pa.string())), pa.array(labels, pa.list_(pa.string()))], ["rec_key", "n_markup", "clean", "main", "kinds", "labels"])
+
+    return df.select(key.cast("bigint").alias("rec_key"), text.alias("t")).mapInArrow(run, "rec_key bigint, n_markup int, clean string, main string, kinds array<string>, labels array<string>")
+
+
+def markup_counts(df: DataFrame, key: Column, text: Column) -> DataFrame:
+    """(rec_key, n_markup) alone, for the same rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = [convert(t)[1] if t else 0 for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int32())], ["rec_key", "n_markup"])
 
-    return df.select(key.cast("bigint").alias("rec_key"), text.alias("t")).mapInArrow(run, "rec_key bigint, n_markup int, clean string, kinds array<string>, labels array<string>")
+    return df.select(key.cast("bigint").alias("rec_key"), text.alias("t")).mapInArrow(run, "rec_key bigint, n_markup int")

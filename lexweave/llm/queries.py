@@ -70,12 +70,12 @@ def _texts(spark: SparkSession, d: str) -> list[tuple[str, DataFrame]]:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    parts = [markup.clean_documents(t.where("text <> ''"), F.col("id"), F.col("text")).where("n_markup > 0").select(F.lit(n).alias("source_field"), "rec_key") for n, t in _texts(spark, d)]
+    parts = [markup.markup_counts(t.where("text <> ''"), F.col("id"), F.col("text")).where("n_markup > 0").select(F.lit(n).alias("source_field"), "rec_key") for n, t in _texts(spark, d)]
     return parts[0].unionByName(parts[1]).where("rec_key is not null").distinct()
 
 
 def p4_clean(spark: SparkSession, d: str) -> DataFrame:
-    parts = [markup.clean_documents(t, F.col("id"), F.col("text")).select(F.lit(n).alias("source_field"), "rec_key", "clean", F.size("kinds").alias("n_blocks"), F.size(F.filter("kinds", lambda k: k == "heading")).alias("n_headings"), F.size(F.filter("labels", lambda k: k == "text")).alias("n_text")) for n, t in _texts(spark, d)]
+    parts = [markup.clean_documents(t, F.col("id"), F.col("text")).select(F.lit(n).alias("source_field"), "rec_key", "clean", "main", F.size("kinds").alias("n_blocks"), F.size(F.filter("kinds", lambda k: k == "heading")).alias("n_headings"), F.size(F.filter("labels", lambda k: k == "text")).alias("n_text")) for n, t in _texts(spark, d)]
     return parts[0].unionByName(parts[1]).distinct()
 
 

@@ -131,6 +131,27 @@ def test_markup_goes(text):
     assert n > 0 and clean == MARKED[text]
 
 
+NESTED = [
+    ("{{a|" * 9 + "core" + "}}" * 9, "core"), ("{{a|" * 40 + "core" + "}}" * 40, "core"), ("\\emph{" * 12 + "core" + "}" * 12, "core"), ('<span title="a > b">core</span>', "core"),
+    ("<custombox kind='x > y'>core</custombox>", "core"), ("; term", "term"), (": said", "said"), ("[ftp://a.b core]", "core"),
+]
+
+
+@pytest.mark.parametrize("text, clean", NESTED)
+def test_nothing_is_left(text, clean):
+    blocks, n = markup.convert(text if text[0] not in ";:" else f"{text}\n{text}")
+    assert n > 0 and markup.render(blocks[:1]).lstrip("• ") == clean
+
+
+def test_main_text_leaves_link_blocks_out():
+    long = "the root of the word is said to be from the old form and it was borrowed in the north"
+    text = f"== A ==\n{long}\n== B ==\n[[x one]] [[y two]]\n[[z three]]\n=== C ===\n[[v]]\n== D ==\n```\ncode\n```"
+    blocks, _ = markup.convert(text)
+    labels = markup.classify(blocks)
+    assert labels == ["heading", "text", "heading", "link", "link", "heading", "link", "heading", "code"]
+    assert [b[2] for b in markup.main_blocks(blocks, labels)] == ["A", long, "D", "code"]
+
+
 def test_block_labels():
     long = "the root of the word is said to be from the old form and it was borrowed in the north"
     blocks = [("paragraph", 0, "short", 0.0), ("paragraph", 0, long, 0.0), ("item", 1, "nav a b", 0.9), ("item", 1, "also", 0.0), ("heading", 1, "H", 0.0)]
