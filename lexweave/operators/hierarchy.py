@@ -1,15 +1,18 @@
-"""Parent-child links of unknown depth: root, depth, path, nested-set ranges, loops.
+"""Parent-child links of unknown depth: nested-set ranges, and by them root, depth, path, ancestors and descendants.
 
-Everything moves along the links in doubling steps, so a tree of depth d takes about log2(d) rounds instead of d:
-
-* upward: after round k a node knows its 2^k-th ancestor and the size of its subtree down to 2^k levels;
+* upward: subtree sizes, in doubling steps along the links, so a tree of depth d takes about log2(d) rounds: after round
+  k a node knows its 2^k-th ancestor and the size of its subtree down to 2^k levels;
 * nodes that still have a 2^k-th ancestor when a round leaves their number unchanged are unprocessed: their links run
   into a loop;
-* siblings get preorder offsets by prefix sums of the subtree sizes, in two levels so that a parent with a third of all
-  rows isn't one task's work;
-* downward: the offsets along the path to the root are added up, again by doubling, which gives each node its range.
-
-``b`` is a descendant of ``a`` if they have one root and a.lo < b.lo <= a.hi.
+* siblings, and the roots as siblings of each other, get preorder offsets by prefix sums of the sizes, in two levels so
+  that a parent with a third of all rows isn't one task's work;
+* downward: the offsets along the path to the root are added up, again by doubling, which gives each node its range
+  lo..hi in the preorder of the whole forest.
+
+The rest comes from the ranges. ``b`` is a descendant of ``a`` if a.lo < b.lo <= a.hi. The depth of a node is the number
+of ranges open at its lo less one, a running sum over the preorder; its root is the last root before it. Ancestors and
+descendants are joined without comparing the nodes of a tree with each other: a range is cut into aligned blocks of
+powers of RADIX, in one of which each of its nodes lies.
 """
 
 from __future__ import annotations
@@ -17,10 +20,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexweave.plans.runtime import clean_key, cut, skew_join
+from lexweave.plans.runtime import clean_key, cut, release, skew_join
 
-#: Siblings are numbered within this many parts of their parent's children.
-PARTS = 64
+#: Siblings are numbered within parts of their parent's children: at least PARTS, and enough for about PART rows each.
+PARTS, PART = 64, 50_000
+#: Running sums over the preorder are taken within blocks of so many nodes and carried from block to block.
+BLOCK = 1 << 16
+RADIX = 16
 
 
 def resolve_parents(df: DataFrame, code: Column, name: Column, parent: Column, none: tuple[str, ...] = ("-", "not a family")) -> DataFrame:
@@ -41,62 +47,115 @@ def resolve_parents(df: DataFrame, code: Column, name: Column, parent: Column, n
 
 
 def hierarchy(links: DataFrame, with_path: bool = True) -> DataFrame:
-    """Per code: parent, root, depth, size, lo, hi, looped and (``with_path``) the path from the root.
+    """Per code: parent, root, depth, size, lo, hi, on_loop and (``with_path``) the path from the root.
 
     ``links`` has (code, parent), code unique; other columns are ignored. A parent that isn't among the codes makes a
     root. depth is -1 for nodes whose links run into a loop; their root is the smallest code on it, on_loop says whether
-    they lie on it themselves, and they have no size, range or path. size counts the node itself; lo runs from 0 within
-    the root's tree in preorder and hi = lo + size - 1. Null codes are left out; an empty table gives an empty result.
+    they lie on it themselves, and they have no size, range or path. size counts the node itself; lo runs from 0 in
+    preorder through all trees and hi = lo + size - 1. Null codes are left out; an empty table gives an empty result.
     """
     nodes = links.select("code", "parent").where("code is not null")
     known = nodes.select(F.col("code").alias("parent"), F.lit(True).alias("known"))
     n = nodes.count()
     nodes = cut(skew_join(nodes, known, "parent", n).select("code", F.when(F.col("known"), F.col("parent")).alias("parent")))
 
-    # upward
-    state = nodes.select("code", F.col("parent").alias("up"), F.col("code").alias("root"), F.lit(0).alias("depth"), F.lit(1).cast("bigint").alias("size"))
-    live, step, jumps = state.where("up is not null").count(), 1, []
+    # upward: sizes
+    state = nodes.select("code", F.col("parent").alias("up"), F.lit(1).cast("bigint").alias("size"))
+    live, jumps = state.where("up is not null").count(), []
     while True:
-        jumps.append(state.select("code", "up"))
+        jumps.append(state)
         if not live:
             break
-        far = state.select(F.col("code").alias("up"), F.col("up").alias("up2"), F.col("root").alias("root2"), F.col("depth").alias("depth2"))
+        far = state.select(F.col("code").alias("up"), F.col("up").alias("up2"))
         below = state.where("up is not null").groupBy("up").agg(F.sum("size").alias("more")).withColumnRenamed("up", "code")
-        moved = skew_join(state, far, "up", n).select(
-            "code", F.col("up2").alias("up"), F.coalesce("root2", "root").alias("root"),
-            F.when(F.col("up").isNull(), F.col("depth")).otherwise(F.col("depth2") + step).alias("depth"), "size",
-        )
-        state = cut(moved.join(below, "code", "left").select("code", "up", "root", "depth", (F.col("size") + F.coalesce("more", F.lit(0))).alias("size")))
-        step *= 2
+        moved = skew_join(state, far, "up", n).select("code", F.col("up2").alias("up"), "size")
+        state = cut(moved.join(below, "code", "left").select("code", "up", (F.col("size") + F.coalesce("more", F.lit(0))).alias("size")))
         now = state.where("up is not null").count()
         if now == live:
             break
         live = now
-    trees = state.where("up is null").join(nodes, "code").select("code", "parent", "root", "depth", "size")
+    trees = state.where("up is null").select("code", "size").join(nodes, "code")
 
-    # prefix sums over the siblings
-    part = F.pmod(F.xxhash64("code"), F.lit(PARTS)).cast("int")
-    kids = trees.where("parent is not null").withColumn("part", part)
+    # prefix sums over the siblings; roots are siblings, under no code
+    parts = max(PARTS, -(-n // PART))
+    kids = trees.select("code", "parent", "size", F.pmod(F.xxhash64("code"), F.lit(parts)).cast("int").alias("part"))
     sums = kids.groupBy("parent", "part").agg(F.sum("size").alias("all"))
     before = Window.partitionBy("parent").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("parent", "part", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("base"))
+    sums = sums.select(F.col("parent").alias("p2"), F.col("part").alias("part2"), F.coalesce(F.sum("all").over(before), F.lit(0)).alias("base"))
     inside = Window.partitionBy("parent", "part").orderBy("code").rowsBetween(Window.unboundedPreceding, -1)
-    kids = kids.withColumn("own", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(sums, ["parent", "part"])
-    off = kids.select("code", (F.col("base") + F.col("own") + 1).alias("lo"))
-    state = cut(trees.join(off, "code", "left").select("code", "parent", "root", "depth", "size", F.coalesce("lo", F.lit(0)).cast("bigint").alias("lo"), F.array("code").alias("path") if with_path else F.lit(None).cast("array<string>").alias("path")))
+    kids = kids.withColumn("own", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    kids = kids.join(sums, F.col("parent").eqNullSafe(F.col("p2")) & (F.col("part") == F.col("part2")))
+    off = F.col("base") + F.col("own") + F.when(F.col("parent").isNotNull(), 1).otherwise(0)
+    state = cut(kids.select("code", "parent", "size", off.cast("bigint").alias("lo")))
 
     # downward: add up along the path to the root
     for jump in jumps[:-1] if live == 0 else jumps:
-        pulled = state.join(jump, "code", "left")
-        far = state.select(F.col("code").alias("up"), F.col("lo").alias("lo2"), F.col("path").alias("path2"))
-        state = cut(skew_join(pulled, far, "up", n).select(
-            "code", "parent", "root", "depth", "size", (F.col("lo") + F.coalesce("lo2", F.lit(0))).alias("lo"),
-            F.when(F.col("path2").isNull(), F.col("path")).otherwise(F.concat("path2", "path")).alias("path"),
-        ))
-    done = state.select("code", "parent", "root", "depth", "size", "lo", (F.col("lo") + F.col("size") - 1).alias("hi"), F.lit(False).alias("on_loop"), "path")
+        far = state.select(F.col("code").alias("up"), F.col("lo").alias("lo2"))
+        pulled = skew_join(state.join(jump.select("code", "up"), "code", "left"), far, "up", n)
+        old, state = state, cut(pulled.select("code", "parent", "size", (F.col("lo") + F.coalesce("lo2", F.lit(0))).alias("lo")))
+        release(old)
+
+    release(*jumps[:-1])
+    done = _scan(state).withColumn("on_loop", F.lit(False))
+    release(state)
+    if with_path:
+        up = ancestors(cut(done.select("code", "lo", "size", (F.col("lo") + F.col("size") - 1).alias("hi"))))
+        path = up.groupBy("code").agg(F.array_sort(F.collect_list(F.struct("lo", "ancestor"))).alias("up"))
+        done = done.join(path, "code", "left").withColumn("path", F.concat(F.coalesce(F.transform("up", lambda x: x["ancestor"]), F.array().cast("array<string>")), F.array("code"))).drop("up")
     if live:
-        done = done.unionByName(_loops(nodes, jumps[-1], n), allowMissingColumns=True)
-    return done if with_path else done.drop("path")
+        done = done.unionByName(_loops(nodes, jumps[-1].select("code", "up"), n), allowMissingColumns=True)
+    return done
+
+
+def _scan(ranges: DataFrame) -> DataFrame:
+    """Root and depth of nodes (code, parent, size, lo) by running sums in the order of lo.
+
+    One task sees the totals of all blocks, a row for BLOCK nodes.
+    """
+    ends = ranges.groupBy((F.col("lo") + F.col("size")).alias("lo")).agg(F.count("*").alias("closed"))
+    at = ranges.join(ends, "lo", "left").select("code", "parent", "size", "lo", (1 - F.coalesce("closed", F.lit(0))).alias("net"), F.floor(F.col("lo") / BLOCK).alias("block"))
+    at = cut(at)
+    top = F.when(F.col("parent").isNull(), F.col("code"))
+    sums = at.groupBy("block").agg(F.sum("net").alias("net"), F.max_by(top, F.when(F.col("parent").isNull(), F.col("lo"))).alias("top"))
+    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select("block", F.coalesce(F.sum("net").over(earlier), F.lit(0)).alias("open"), F.last("top", True).over(earlier).alias("top"))
+    here = Window.partitionBy("block").orderBy("lo").rowsBetween(Window.unboundedPreceding, 0)
+    run = at.withColumn("sum", F.sum("net").over(here)).withColumn("near", F.last(top, True).over(here)).join(carried, "block")
+    return run.select("code", "parent", F.coalesce("near", "top").alias("root"), (F.col("open") + F.col("sum") - 1).cast("int").alias("depth"), "size", "lo", (F.col("lo") + F.col("size") - 1).alias("hi"))
+
+
+def _blocks(levels: int) -> Column:
+    """The aligned blocks (level, number) that the places lo + 1 to hi consist of."""
+
+    def span(a: Column, b: Column, k: int) -> Column:
+        return F.when(a < b, F.transform(F.sequence(a, b - 1), lambda x: F.struct(F.lit(k).alias("k"), x.alias("i")))).otherwise(F.array().cast("array<struct<k:int,i:bigint>>"))
+
+    out = []
+    for k in range(levels):
+        w = RADIX**k
+        a, b = F.ceil((F.col("lo") + 1) / w).cast("bigint"), F.floor((F.col("hi") + 1) / w).cast("bigint")
+        up, down = F.ceil(a / RADIX).cast("bigint") * RADIX, F.floor(b / RADIX).cast("bigint") * RADIX
+        out.append(F.when(up <= down, F.concat(span(a, up, k), span(down, b, k))).otherwise(span(a, b, k)))
+    return F.concat(*out)
+
+
+def ancestors(tree: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """(code, ancestor, lo): the proper ancestors of every node (of the codes in ``of`` only as ancestors, if given), with
+    the ancestor's lo. ``tree`` has (code, lo, hi, size) and is read three times.
+
+    Work and shuffle are the result and a row per node and level; the number of levels is the logarithm of the largest
+    size. Nodes without a range have no ancestors.
+    """
+    tree = tree.where("lo is not null").select("code", "lo", "hi", "size")
+    largest, levels = tree.agg(F.coalesce(F.max("size"), F.lit(1))).first()[0], 1
+    while RADIX**levels <= largest:
+        levels += 1
+    above = tree.where("size > 1")
+    if of is not None:
+        above = above.join(of.select("code").distinct(), "code", "left_semi")
+    above = above.select(F.col("code").alias("ancestor"), "lo", F.explode(_blocks(levels)).alias("b")).select("ancestor", F.col("lo").alias("alo"), "b.k", "b.i")
+    below = tree.select("code", F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.floor(F.col("lo") / RADIX**k).cast("bigint").alias("i")) for k in range(levels)))).alias("b")).select("code", "b.k", "b.i")
+    return below.join(above, ["k", "i"]).select("code", "ancestor", F.col("alo").alias("lo"))
 
 
 def _loops(nodes: DataFrame, jump: DataFrame, n: int) -> DataFrame:
@@ -123,7 +182,7 @@ def _loops(nodes: DataFrame, jump: DataFrame, n: int) -> DataFrame:
     return looped.select("code", "parent", F.col("low").alias("root"), F.lit(-1).alias("depth"), F.coalesce("on_loop", F.lit(False)).alias("on_loop"))
 
 
-def descendants(tree: DataFrame, codes: DataFrame) -> DataFrame:
-    """(code, descendant) for each of ``codes``, by the nested-set ranges: an equi-join on the root, filtered by range."""
-    a = tree.join(codes.select("code").distinct(), "code").select(F.col("code").alias("of"), "root", F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"))
-    return tree.where("depth > 0").join(a, "root").where("lo > a_lo and lo <= a_hi").select(F.col("of").alias("code"), F.col("code").alias("descendant"))
+def descendants(tree: DataFrame, codes: DataFrame | None = None) -> DataFrame:
+    """(code, descendant) for each of ``codes`` (all without), by the nested-set ranges. Repeated and unknown codes and
+    those on or before a loop add nothing."""
+    return ancestors(tree, codes).select(F.col("ancestor").alias("code"), F.col("code").alias("descendant"))

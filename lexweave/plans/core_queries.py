@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexweave.operators import hierarchy as H
 from lexweave.operators.packed import split_packed
 from lexweave.operators.shred import assemble, shred
-from lexweave.plans.runtime import table
+from lexweave.plans.runtime import cut, table
 
 
 def _families(spark: SparkSession, d: str, with_path: bool) -> DataFrame:
@@ -26,12 +26,8 @@ def p2_paths(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_descendants(spark: SparkSession, d: str) -> DataFrame:
-    """All descendants of every family outside loops: the nodes on a family's path have it below them.
-
-    The work is that of the result, where an equi-join on the root would compare all pairs within a tree.
-    """
-    t = _families(spark, d, True).where("depth > 0")
-    return t.select(F.explode(F.slice("path", F.lit(1), F.col("depth"))).alias("code"), F.col("code").alias("descendant"))
+    """All descendants of every family outside loops, by their ranges."""
+    return H.descendants(cut(_families(spark, d, False)))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -120,7 +116,7 @@ reach AS (SELECT code AS a, parent AS b FROM bad UNION SELECT r.a, bad.parent FR
 ring AS (SELECT a FROM reach WHERE a = b)
 SELECT code, root_code, depth FROM tree UNION ALL SELECT a, min(b), -1 FROM reach WHERE b IN (SELECT a FROM ring) GROUP BY a""",
     "p2_paths": _FAM + "sz AS (SELECT unnest(string_split(path, '>')) AS code, 1 AS one FROM tree) SELECT tree.code, any_value(path) AS path, count(*) AS n_subtree FROM tree JOIN sz ON sz.code = tree.code GROUP BY tree.code",
-    "p2_descendants": _FAM + "x AS (SELECT code, string_split(path, '>') AS p FROM tree) SELECT p[2] AS code, code AS descendant FROM x WHERE len(p) > 2",
+    "p2_descendants": _FAM + "x AS (SELECT code, string_split(path, '>') AS p FROM tree) SELECT unnest(p[:-2]) AS code, code AS descendant FROM x",
     "p7_found": r"""
 WITH pages AS (SELECT DISTINCT id, revision FROM json_page WHERE revision IS NOT NULL AND revision <> ''),
 r AS (SELECT id AS page_id, unnest(CASE WHEN json_type(revision) = 'ARRAY' THEN CAST(revision AS JSON[]) ELSE [CAST(revision AS JSON)] END) AS v FROM pages),

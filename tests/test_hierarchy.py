@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from lexweave.operators import hierarchy as H
@@ -16,7 +17,9 @@ def brute(parent):
     return out
 
 
-def test_random_forest_with_loops(spark):
+@pytest.mark.parametrize("block, radix, part", [(H.BLOCK, H.RADIX, H.PART), (8, 2, 3), (1, 3, 50)])
+def test_random_forest_with_loops(spark, monkeypatch, block, radix, part):
+    monkeypatch.setattr(H, "BLOCK", block), monkeypatch.setattr(H, "RADIX", radix), monkeypatch.setattr(H, "PART", part)
     rnd = random.Random(3)
     codes = [f"c{i:03d}" for i in range(220)]
     parent = {c: (rnd.choice(codes[:i]) if i and rnd.random() < 0.93 else None) for i, c in enumerate(codes)}
@@ -33,6 +36,7 @@ def test_random_forest_with_loops(spark):
         assert r.size == len(below)
         assert below == {x.code for x in trees if x.root == r.root and r.lo <= x.lo <= r.hi}
         assert len(r.path) == r.depth + 1 and r.path[-1] == r.code and r.path[0] == r.root
+    assert sorted(r.lo for r in trees) == list(range(len(trees)))
     assert {c for c, r in got.items() if r.on_loop} == {"c010", "c011", "c012", "c020"}
 
 
