@@ -1,21 +1,33 @@
-"""Reduction and analysis of typed relation graphs as DataFrame loops.
+"""Reduction and analysis of typed relation graphs.
 
 Edges are (src, tgt, type, text, uncertain, ord) with string node ids. Loops keep only what changes, cut their lineage in
 the shared checkpoint folder and end when an aggregate says that nothing moved. No step collects nodes or edges to the
-driver, and joins on nodes, of which a few may be very hot, go through ``skew_join`` or are pre-aggregated.
+driver, and joins on nodes, of which a few may be very hot, go through ``skew_join`` and ``salted_join`` or are
+pre-aggregated.
+
+Cycles and implied edges are matters of one weak component. Components of up to LOCAL_EDGES edges are dealt to bins of
+about that size, each of which is one task's work in memory; larger ones go through loops that take a round per link.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexweave.operators import ontology as O
-from lexweave.plans.runtime import cut, skew_join
-
+from lexweave.plans.runtime import cut, grow, release, salted_join, skew_join
 
 #: Steps of a loop between two cuts of the lineage.
 UNROLL = 3
+#: Edges of a weak component that one task may hold; a bin has no more than some three times as many.
+LOCAL_EDGES = 300_000
+#: Targets whose reach is followed at once, a bit each, within a task.
+CHUNK = 4096
 
 
 def node_id(c: str) -> Column:
@@ -78,16 +90,24 @@ def undirected(edges: DataFrame) -> DataFrame:
 
 
 def absorb_related(edges: DataFrame) -> DataFrame:
-    """Merge everything: siblings and ``related`` by undirected pair, ``related`` dropped where a pair has a closer edge.
+    """Merge everything: siblings and ``related`` by undirected pair, ``related`` absorbed where a pair has a closer edge.
 
-    The text of a dropped ``related`` edge isn't kept: which of several closer edges should get it would depend on order.
+    The text of an absorbed edge is added to that of one closer edge of its pair, which becomes uncertain if it was: a
+    directed one before a sibling, then the one that came first. So it doesn't depend on which of them came before.
     """
     e = no_self_loops(edges)
     origin = merge_types(e.where(F.col("type").isin(*O.DIRECTED)))
     sibling = merge_types(undirected(e.where(F.col("type").isin(*O.SIBLING))))
-    related = merge_types(undirected(e.where("type = 'related'")))
-    closer = undirected(origin.select("src", "tgt")).union(sibling.select("src", "tgt")).distinct()
-    return origin.unionByName(sibling).unionByName(related.join(closer, ["src", "tgt"], "left_anti"))
+    related = cut(merge_types(undirected(e.where("type = 'related'"))))
+    closer = cut(origin.withColumn("far", F.lit(0)).unionByName(sibling.withColumn("far", F.lit(1))))
+    pair = [F.least("src", "tgt").alias("a"), F.greatest("src", "tgt").alias("b")]
+    first = closer.groupBy(*pair).agg(F.min(F.struct("far", "ord", "type", "src"))["type"].alias("type"), F.min(F.struct("far", "ord", "type", "src"))["src"].alias("src"))
+    given = related.select(F.col("src").alias("a"), F.col("tgt").alias("b"), F.col("text").alias("rtext"), F.col("uncertain").alias("runcertain"))
+    given = given.join(first, ["a", "b"]).select("src", F.when(F.col("src") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("tgt"), "type", "rtext", "runcertain")
+    text = F.nullif(F.concat_ws("; ", "text", "rtext"), F.lit(""))
+    closer = closer.join(given, ["src", "tgt", "type"], "left").select("src", "tgt", "type", text.alias("text"), (F.col("uncertain") | F.coalesce("runcertain", F.lit(False))).alias("uncertain"), "ord")
+    left = related.join(first.select(F.col("a").alias("src"), F.col("b").alias("tgt")), ["src", "tgt"], "left_anti")
+    return closer.unionByName(left)
 
 
 def weak_components(edges: DataFrame) -> DataFrame:
@@ -126,8 +146,8 @@ def _core(edges: DataFrame, rounds: int) -> tuple[DataFrame, int]:
     return edges, n
 
 
-def strong_components(edges: DataFrame, trim: int = 64) -> DataFrame:
-    """(node, scc) for nodes on a cycle; scc is the component's smallest node.
+def _strong_by_rounds(edges: DataFrame, trim: int) -> DataFrame:
+    """``strong_components`` of graphs of any size, in a round per link of the longest way.
 
     Trimming leaves the cycles and what lies between them. Then each node takes the largest id that reaches it (its
     colour), and from each node that bears its own colour the edges are walked back within the colour: what is met is one
@@ -140,23 +160,23 @@ def strong_components(edges: DataFrame, trim: int = 64) -> DataFrame:
         while True:
             new = color.select("node", "color", F.col("color").alias("was"))
             for _ in range(UNROLL):
-                into = left.join(new.select(F.col("node").alias("src"), "color"), "src").groupBy(F.col("tgt").alias("node")).agg(F.max("color").alias("seen"))
+                into = skew_join(left, new.select(F.col("node").alias("src"), "color"), "src", n, "inner").groupBy(F.col("tgt").alias("node")).agg(F.max("color").alias("seen"))
                 new = new.join(into, "node", "left").select("node", F.greatest("color", "seen").alias("color"), "was")
             new = cut(new)
             color = new.select("node", "color")
             if not new.where("color <> was").limit(1).count():
                 break
-        inside = left.join(color.select(F.col("node").alias("src"), F.col("color").alias("c1")), "src").join(color.select(F.col("node").alias("tgt"), F.col("color").alias("c2")), "tgt").where("c1 = c2").select("src", "tgt", F.col("c1").alias("color"))
+        inside = skew_join(left, color.select(F.col("node").alias("src"), F.col("color").alias("c1")), "src", n, "inner")
+        inside = skew_join(inside, color.select(F.col("node").alias("tgt"), F.col("color").alias("c2")), "tgt", n, "inner").where("c1 = c2").select("src", "tgt", F.col("c1").alias("color"))
         inside = cut(inside)
-        found = cut(color.where("node = color"))
-        front = found
+        front = cut(color.where("node = color"))
+        found = cut(front)
         while True:
             back = inside.join(front.select(F.col("node").alias("tgt"), "color"), ["tgt", "color"]).select(F.col("src").alias("node"), "color").distinct()
             front = cut(back.join(found, ["node", "color"], "left_anti"))
             if not front.limit(1).count():
                 break
-            found = cut(found.union(front))
-        low = Window.partitionBy("color")
+            found = grow(found, front)
         part = found.groupBy("color").agg(F.min("node").alias("scc"), F.count("*").alias("k")).where("k > 1")
         parts.append(cut(found.join(part, "color").select("node", "scc")))
         gone = found.select("node")
@@ -169,41 +189,164 @@ def strong_components(edges: DataFrame, trim: int = 64) -> DataFrame:
     return out
 
 
+def _split(edges: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(edges of small weak components with their ``bin``, edges of large ones, number of these)."""
+    e = cut(edges.select("src", "tgt").where("src <> tgt").distinct())
+    label = weak_components(e)
+    n = e.count()
+    e = cut(skew_join(e, label.select(F.col("node").alias("src"), "component"), "src", n, "inner"))
+    size = e.groupBy("component").count().where(F.col("count") > LOCAL_EDGES).select("component")
+    large = F.broadcast(size)  # there are no more than edges / LOCAL_EDGES
+    rest = e.join(large, "component", "left_semi").select("src", "tgt")
+    many = rest.count()
+    bins = max(8, -(-(n - many) // max(1, LOCAL_EDGES)))
+    small = e.join(large, "component", "left_anti").select("src", "tgt", F.pmod(F.xxhash64("component"), F.lit(bins)).cast("int").alias("bin"))
+    return small.repartition(bins, "bin"), rest, many
+
+
+def _in_bins(small: DataFrame, run: Callable[[np.ndarray, np.ndarray, pa.Array], pa.Table], schema: str) -> DataFrame:
+    """``run`` on each bin's edges, as numbers of its nodes in the order of their ids, and these ids."""
+
+    def one(t: pa.Table) -> pa.Table:
+        both = pa.chunked_array([*t.column("src").chunks, *t.column("tgt").chunks]).combine_chunks()
+        both = both.combine_chunks() if isinstance(both, pa.ChunkedArray) else both
+        ids = both.unique().sort()
+        at = pa.compute.index_in(both, ids).to_numpy(zero_copy_only=False).astype(np.int64)
+        return run(at[: t.num_rows], at[t.num_rows :], ids)
+
+    return small.groupBy("bin").applyInArrow(one, schema)
+
+
+def _tarjan(n: int, src: np.ndarray, tgt: np.ndarray) -> np.ndarray:
+    """The number of each node's strong component, numbered in reverse topological order."""
+    order = np.argsort(src, kind="stable")
+    to = tgt[order].tolist()
+    start = np.searchsorted(src[order], np.arange(n + 1)).tolist()
+    index, low, comp = [-1] * n, [0] * n, [-1] * n
+    stack: list[int] = []
+    count = made = 0
+    for root in range(n):
+        if index[root] >= 0:
+            continue
+        work = [(root, start[root])]
+        index[root] = low[root] = count
+        count += 1
+        stack.append(root)
+        while work:
+            v, k = work.pop()
+            if k < start[v + 1]:
+                work.append((v, k + 1))
+                w = to[k]
+                if index[w] < 0:
+                    index[w] = low[w] = count
+                    count += 1
+                    stack.append(w)
+                    work.append((w, start[w]))
+                elif comp[w] < 0:
+                    low[v] = min(low[v], index[w])
+                continue
+            if low[v] == index[v]:
+                while True:
+                    w = stack.pop()
+                    comp[w] = made
+                    if w == v:
+                        break
+                made += 1
+            if work:
+                low[work[-1][0]] = min(low[work[-1][0]], low[v])
+    return np.array(comp, np.int64)
+
+
+def _strong_in_memory(src: np.ndarray, tgt: np.ndarray, ids: pa.Array) -> pa.Table:
+    comp = _tarjan(len(ids), src, tgt)
+    first = np.full(len(ids), len(ids))
+    np.minimum.at(first, comp, np.arange(len(ids)))  # ids are sorted, so the smallest number is the smallest id
+    on = np.flatnonzero(np.bincount(comp, minlength=len(ids))[comp] > 1)
+    return pa.table({"node": ids.take(pa.array(on)), "scc": ids.take(pa.array(first[comp[on]]))})
+
+
+def strong_components(edges: DataFrame, trim: int = 64) -> DataFrame:
+    """(node, scc) for nodes on a cycle of two nodes or more; scc is the component's smallest node."""
+    small, large, many = _split(edges)
+    found = _in_bins(small, _strong_in_memory, "node string, scc string")
+    return found.unionByName(_strong_by_rounds(large, trim)) if many else found
+
+
 def on_cycles(edges: DataFrame, scc: DataFrame) -> DataFrame:
     """Edges with both ends in one strong component, with ``scc``."""
+    scc = cut(scc)
     return edges.join(scc.select(F.col("node").alias("src"), "scc"), "src").join(scc.select(F.col("node").alias("tgt"), F.col("scc").alias("scc2")), "tgt").where("scc = scc2").drop("scc2")
 
 
-def implied_edges(edges: DataFrame) -> DataFrame:
-    """(src, tgt) of the edges of a DAG that a longer path makes redundant.
+def _implied_by_rounds(edges: DataFrame) -> DataFrame:
+    """``implied_edges`` of graphs of any size, in a round per link of the longest way.
 
     Only edges that leave a node with several successors and enter a node with several predecessors can be. From the
     other successors of each one's source the walk goes on until the target is met, without visiting a node twice.
     """
     e = cut(edges.select("src", "tgt").distinct())
+    n = e.count()
     forks = e.groupBy("src").count().where("count > 1").select("src")
     joins = e.groupBy("tgt").count().where("count > 1").select("tgt")
     asked = cut(e.join(forks, "src", "left_semi").join(joins, "tgt", "left_semi").select(F.col("src").alias("a"), F.col("tgt").alias("b")))
-    front = cut(asked.join(e.withColumnRenamed("src", "a"), "a").where("tgt <> b").select("a", "b", F.col("tgt").alias("at")))
-    seen, hits = front, None
+    front = cut(salted_join(asked, e.withColumnRenamed("src", "a"), "a", n).where("tgt <> b").select("a", "b", F.col("tgt").alias("at")))
+    seen, hits = cut(front), None
     while front.limit(1).count():
-        step = front.join(e.withColumnRenamed("src", "at"), "at").select("a", "b", F.col("tgt").alias("at")).distinct()
+        step = salted_join(front, e.withColumnRenamed("src", "at"), "at", front.count()).select("a", "b", F.col("tgt").alias("at")).distinct()
         step = cut(step.join(seen, ["a", "b", "at"], "left_anti"))
         met = step.where("at = b").select("a", "b")
         hits = met if hits is None else hits.union(met)
         # a question that is answered needs no further walk
         front = cut(step.where("at <> b").join(met, ["a", "b"], "left_anti"))
-        seen = cut(seen.union(step))
+        seen = grow(seen, step)
     if hits is None:
         return asked.limit(0).select(F.col("a").alias("src"), F.col("b").alias("tgt"))
     return hits.distinct().select(F.col("a").alias("src"), F.col("b").alias("tgt"))
 
 
+def _implied_in_memory(src: np.ndarray, tgt: np.ndarray, ids: pa.Array) -> pa.Table:
+    """Along the reverse topological order each node gets the bits of the asked targets it reaches, CHUNK at a time."""
+    n = len(ids)
+    place = _tarjan(n, src, tgt)  # of a DAG: every node by itself, its successors before it
+    order = np.argsort(place[src], kind="stable")
+    src, tgt = src[order], tgt[order]
+    start = np.flatnonzero(np.r_[True, src[1:] != src[:-1], True]).tolist() if len(src) else [0]
+    asked = (np.bincount(src, minlength=n)[src] > 1) & (np.bincount(tgt, minlength=n)[tgt] > 1)
+    targets = np.unique(tgt[asked])
+    heads, to = src.tolist(), tgt.tolist()
+    hit = np.zeros(len(src), bool)
+    for c in range(0, len(targets), CHUNK):
+        bit = {int(t): 1 << k for k, t in enumerate(targets[c : c + CHUNK])}
+        reach: dict[int, int] = {}
+        for a, b in zip(start[:-1], start[1:]):
+            far = near = 0
+            for w in to[a:b]:
+                far |= reach.get(w, 0)
+                near |= bit.get(w, 0)
+            if far & near:  # a successor that another one reaches
+                for k in range(a, b):
+                    if bit.get(to[k], 0) & far:
+                        hit[k] = True
+            if far or near:
+                reach[heads[a]] = far | near
+    k = np.flatnonzero(hit)
+    return pa.table({"src": ids.take(pa.array(src[k])), "tgt": ids.take(pa.array(tgt[k]))})
+
+
+def implied_edges(edges: DataFrame) -> DataFrame:
+    """(src, tgt) of the edges of a DAG that a longer path makes redundant."""
+    small, large, many = _split(edges)
+    found = _in_bins(small, _implied_in_memory, "src string, tgt string")
+    return found.unionByName(_implied_by_rounds(large)) if many else found
+
+
 def prune_related(related: DataFrame, labels: DataFrame) -> DataFrame:
     """``related`` edges whose ends aren't in one component of ``labels``."""
-    a = related.join(labels.select(F.col("node").alias("src"), F.col("component").alias("ca")), "src", "left")
-    b = a.join(labels.select(F.col("node").alias("tgt"), F.col("component").alias("cb")), "tgt", "left")
-    return b.where("ca is null or cb is null or ca <> cb").drop("ca", "cb")
+    related = cut(related)
+    n = related.count()
+    a = skew_join(related, labels.select(F.col("node").alias("src"), F.col("component").alias("ca")), "src", n)
+    b = skew_join(cut(a), labels.select(F.col("node").alias("tgt"), F.col("component").alias("cb")), "tgt", n)
+    return b.where("ca is null or cb is null or ca <> cb").select(related.columns)
 
 
 def reduce_graph(edges: DataFrame, older: DataFrame | None = None, transitive: bool = True, prune: bool = True) -> DataFrame:
@@ -241,24 +384,26 @@ def degrees(edges: DataFrame) -> DataFrame:
 def bfs(edges: DataFrame, sources: DataFrame, cutoff: int) -> DataFrame:
     """(source, node, dist) for nodes within ``cutoff`` links along the edges, the source itself at 0."""
     e = cut(edges.select(F.col("src").alias("node"), "tgt").distinct())
-    seen = front = cut(sources.select(F.col("node").alias("source"), "node", F.lit(0).alias("dist")).distinct())
+    front = cut(sources.select(F.col("node").alias("source"), "node", F.lit(0).alias("dist")).distinct())
+    seen = cut(front)
     for d in range(1, cutoff + 1):
-        step = front.join(e, "node").select("source", F.col("tgt").alias("node"), F.lit(d).alias("dist")).distinct()
+        step = salted_join(front, e, "node", front.count()).select("source", F.col("tgt").alias("node"), F.lit(d).alias("dist")).distinct()
         front = cut(step.join(seen, ["source", "node"], "left_anti"))
         if not front.limit(1).count():
             break
-        seen = cut(seen.union(front))
+        seen = grow(seen, front)
     return seen
 
 
 def above(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node): ``nodes`` and all from which edges lead to them, the newly met only in each round."""
     e = cut(edges.select("src", F.col("tgt").alias("node")).distinct())
-    seen = front = cut(nodes.select("node").distinct())
-    while front.limit(1).count():
-        step = front.join(e, "node").select(F.col("src").alias("node")).distinct()
+    front = cut(nodes.select("node").distinct())
+    seen = cut(front)
+    while n := front.count():
+        step = salted_join(front, e, "node", n).select(F.col("src").alias("node")).distinct()
         front = cut(step.join(seen, "node", "left_anti"))
-        seen = cut(seen.union(front))
+        seen = grow(seen, front)
     return seen
 
 
@@ -273,37 +418,67 @@ def paths(edges: DataFrame, sources: DataFrame, depth: int, direction: str = "ou
     front = sources.select(F.col("node").alias("start"), "node", F.lit(0).alias("length"), F.array().cast("array<string>").alias("links"))
     all_ = front
     for d in range(1, depth + 1):
-        front = front.join(e, "node").where(~F.array_contains("links", F.col("eid"))).select("start", F.col("to").alias("node"), F.lit(d).alias("length"), F.array_append("links", F.col("eid")).alias("links"))
+        front = cut(front)
+        front = salted_join(front, e, "node", front.count()).where(~F.array_contains("links", F.col("eid"))).select("start", F.col("to").alias("node"), F.lit(d).alias("length"), F.array_append("links", F.col("eid")).alias("links"))
         all_ = all_.union(front)
     return all_
 
 
-def pagerank(edges: DataFrame, rounds: int = 20, damping: float = 0.85) -> DataFrame:
-    """(node, rank) on the undirected simple graph after so many rounds; the ranks add up to 1."""
+def pagerank(edges: DataFrame, tolerance: float = 1e-6, damping: float = 0.85) -> DataFrame:
+    """(node, rank) on the undirected simple graph; the ranks add up to 1.
+
+    Rounds go on until all ranks together change by less than ``tolerance`` times the number of nodes.
+    """
     both = cut(edges.select("src", "tgt").union(edges.select("tgt", "src")).where("src <> tgt").distinct())
     deg = both.groupBy("src").agg(F.count("*").alias("deg"))
     n = deg.count()
     if not n:
         return both.select(F.col("src").alias("node"), F.lit(0.0).alias("rank"))
-    links = cut(both.join(deg, "src"))
-    ranks = deg.select(F.col("src").alias("node"), F.lit(1.0 / n).alias("rank"))
-    for k in range(rounds):
-        got = links.join(ranks.withColumnRenamed("node", "src"), "src").groupBy(F.col("tgt").alias("node")).agg(F.sum(F.col("rank") / F.col("deg")).alias("in"))
-        ranks = got.select("node", (F.lit((1 - damping) / n) + damping * F.col("in")).alias("rank"))
-        if k % 5 == 4:
-            ranks = cut(ranks)
-    return ranks
-
-
-def communities(edges: DataFrame, rounds: int = 8) -> DataFrame:
-    """(node, community) by label propagation on the undirected simple graph: a documented stand-in for modularity moves.
-
-    In each round a node takes the label most of its neighbours bear, the smallest on a tie; its own counts once.
+    links = cut(skew_join(both, deg, "src", both.count(), "inner"))
+    many = links.count()
+    ranks = cut(deg.select(F.col("src").alias("node"), F.lit(1.0 / n).alias("rank")))
+    while True:
+        got = skew_join(links, ranks.withColumnRenamed("node", "src"), "src", many, "inner").groupBy(F.col("tgt").alias("node")).agg(F.sum(F.col("rank") / F.col("deg")).alias("in"))
+        new = got.join(ranks, "node").select("node", (F.lit((1 - damping) / n) + damping * F.col("in")).alias("new"), "rank")
+        new = cut(new)
+        moved = new.agg(F.sum(F.abs(F.col("new") - F.col("rank")))).first()[0]
+        release(ranks)
+        ranks = cut(new.select("node", F.col("new").alias("rank")))
+        release(new)
+        if moved < tolerance * n:
+            return ranks
+
+
+def communities(edges: DataFrame, resolution: float = 1.0) -> DataFrame:
+    """(node, community) by greedy modularity: communities are merged as long as a merge gains.
+
+    On the undirected simple graph, merging i and j gains links(i, j) - resolution * degree(i) * degree(j) / (2 * all
+    links). In each round every community names the neighbour with the largest gain, the smallest name on a tie. Two that
+    name each other merge, and others that named the smaller of them join. The best pair of all always names each other,
+    so every round merges some, until no merge gains. A community is named after its smallest member.
     """
-    both = cut(edges.select("src", "tgt").union(edges.select("tgt", "src")).where("src <> tgt").distinct())
-    labels = cut(both.select(F.col("src").alias("node"), F.col("src").alias("community")).distinct())
-    for _ in range(rounds):
-        votes = both.join(labels.select(F.col("node").alias("tgt"), "community"), "tgt").select(F.col("src").alias("node"), "community").unionByName(labels)
-        count = votes.groupBy("node", "community").agg(F.count("*").alias("k"))
-        labels = cut(count.groupBy("node").agg(F.min(F.struct((-F.col("k")).alias("k"), "community"))["community"].alias("community")))
-    return labels
+    both = cut(edges.select(F.least("src", "tgt").alias("a"), F.greatest("src", "tgt").alias("b")).where("a <> b").distinct())
+    m = both.count()
+    labels = cut(both.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("community", F.col("node")))
+    links = cut(both.select("a", "b", F.lit(1).cast("bigint").alias("w")).union(both.select("b", "a", F.lit(1).cast("bigint"))))
+    deg = cut(links.groupBy("a").agg(F.sum("w").alias("d")))
+    while True:
+        n = links.count()
+        near = skew_join(links, deg.select("a", F.col("d").alias("da")), "a", n, "inner")
+        near = skew_join(cut(near), deg.select(F.col("a").alias("b"), F.col("d").alias("db")), "b", n, "inner")
+        gain = F.col("w") - F.lit(resolution) * (F.col("da") * F.col("db")) / (2 * m)
+        best = cut(near.withColumn("gain", gain).where("gain > 0").groupBy("a").agg(F.min(F.struct((-F.col("gain")).alias("g"), "b"))["b"].alias("b")))
+        if not best.limit(1).count():
+            name = labels.groupBy("community").agg(F.min("node").alias("name"))
+            return skew_join(labels, name, "community", labels.count(), "inner").select("node", F.col("name").alias("community"))
+        # i follows its favourite j: where they name each other, the larger name follows; else only if j follows nobody
+        back = best.select(F.col("a").alias("b"), F.col("b").alias("c"))
+        step = skew_join(best, back, "b", best.count()).select("a", "b", (F.col("a") == F.col("c")).alias("mutual"))
+        move = cut(step.where("mutual and a > b").select("a", F.col("b").alias("to")))
+        heads = step.where("mutual and a < b").select(F.col("a").alias("b"))
+        tails = step.where("not coalesce(mutual, false)").join(heads, "b", "left_semi").select("a", F.col("b").alias("to"))
+        move = cut(move.unionByName(tails))
+        to = lambda df, c: skew_join(df, move.select(F.col("a").alias(c), "to"), c, n).withColumn(c, F.coalesce("to", c)).drop("to")
+        labels = cut(to(labels, "community"))
+        links = cut(to(cut(to(links, "a")), "b").where("a <> b").groupBy("a", "b").agg(F.sum("w").alias("w")))
+        deg = cut(to(deg, "a").groupBy("a").agg(F.sum("d").alias("d")))
