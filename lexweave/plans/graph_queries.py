@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexweave.operators import graph as G
 from lexweave.operators import hierarchy as H
 from lexweave.operators import ontology as O
+from lexweave.plans.core_queries import _FAM
 from lexweave.plans.runtime import cut, table
 
 Q: dict = {}
@@ -70,12 +71,19 @@ def language_tree(e: DataFrame, min_count: int = 8, min_odds: float = 0.8) -> Da
 _IN = "('" + "','".join(O.PARENT) + "')"
 _E = f"""e AS (SELECT DISTINCT concat_ws('#', src.term, src.language, coalesce(src.sense_idx, 0)::VARCHAR) AS src, concat_ws('#', tgt.term, tgt.language, coalesce(tgt.sense_idx, 0)::VARCHAR) AS tgt,
  CASE WHEN lower(trim(type)) IN {_IN} THEN lower(trim(type)) ELSE 'related' END AS type, nullif(text, '') AS text, coalesce(uncertain, false) AS uncertain, ord FROM relation WHERE src.term IS NOT NULL AND tgt.term IS NOT NULL)"""
-_DENSE = """dn AS (SELECT 'n' || (o_custkey % 40) AS src, 'n' || (l_suppkey % 40) AS tgt, ['related','borrowing','learned borrowing','cognate','eponym','origin','doublet'][l_linenumber] AS type, l_returnflag = 'R' AS uncertain, l_orderkey * 10 + l_linenumber AS ord FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 _UP = "up(type, ancestor) AS (VALUES " + ", ".join(f"('{t}','{a}')" for t in O.PARENT for a in O.ancestors(t)[1:]) + ")"
 _DIR = "('" + "','".join(O.DIRECTED) + "')"
 _SIB = "('" + "','".join(O.SIBLING) + "')"
-_DAG = "dg AS (SELECT DISTINCT lpad(least(l_orderkey % 60, l_partkey % 60)::VARCHAR, 2, '0') AS src, lpad(greatest(l_orderkey % 60, l_partkey % 60)::VARCHAR, 2, '0') AS tgt FROM lineitem WHERE l_orderkey < 1500 AND l_orderkey % 60 <> l_partkey % 60)"
-_SPARSE = "sp AS (SELECT DISTINCT (l_orderkey % (SELECT count(*) FROM part))::VARCHAR AS src, l_partkey::VARCHAR AS tgt FROM lineitem WHERE l_quantity <= 2 AND (l_orderkey % (SELECT count(*) FROM part)) <> l_partkey)"
+
+
+def _reduced(e: str) -> str:
+    """CTEs for the edges of ``e`` that lie on no cycle and that no longer path implies, as ``{e}_kept``."""
+    return f"""{e}_re AS (SELECT src AS a, tgt AS b FROM {e} UNION SELECT r.a, x.tgt FROM {e}_re r JOIN {e} x ON r.b = x.src), {e}_dg AS (SELECT src, tgt FROM {e} WHERE (tgt, src) NOT IN (SELECT (a, b) FROM {e}_re)),
+ {e}_rd AS (SELECT src AS a, tgt AS b FROM {e}_dg UNION SELECT r.a, x.tgt FROM {e}_rd r JOIN {e}_dg x ON r.b = x.src), {e}_kept AS (SELECT src, tgt FROM {e}_dg g WHERE NOT EXISTS (SELECT 1 FROM {e}_dg w JOIN {e}_rd r ON r.a = w.tgt WHERE w.src = g.src AND r.b = g.tgt))"""
+
+
+_LANGS = """lx AS (SELECT string_split(src, '#')[-2] AS a, string_split(tgt, '#')[-2] AS b FROM e WHERE type IN ('inheritance', 'root')), ln AS (SELECT a, b, count(*) AS n FROM lx WHERE a <> b GROUP BY ALL),
+ lt AS (SELECT c.a AS src, c.b AS tgt, c.n / (c.n + coalesce(r.n, 0)) AS odds FROM ln c LEFT JOIN ln r ON c.a = r.b AND c.b = r.a WHERE c.n + coalesce(r.n, 0) >= 8 AND c.n / (c.n + coalesce(r.n, 0)) > 0.8)"""
 
 
 @query(f"WITH {_E} SELECT src, type, ord FROM e WHERE src = tgt")
@@ -83,13 +91,13 @@ def g1_self_loops(spark, d):
     return edges(spark, d).where("src = tgt").select("src", "type", "ord")
 
 
-@query(f"WITH {_DENSE}, {_UP}, p AS (SELECT src, tgt, type, bool_or(uncertain) u, min(ord) o FROM dn WHERE src <> tgt AND type IN {_DIR} GROUP BY ALL) SELECT p.src, p.tgt, p.type, bool_or(q.u) AS uncertain, min(q.o) AS ord FROM p JOIN p q ON p.src = q.src AND p.tgt = q.tgt AND (q.type = p.type OR (p.type, q.type) IN (SELECT (type, ancestor) FROM up)) WHERE NOT EXISTS (SELECT 1 FROM p r JOIN up ON up.type = r.type WHERE r.src = p.src AND r.tgt = p.tgt AND up.ancestor = p.type) GROUP BY ALL")
+@query(f"WITH {_E}, {_UP}, p AS (SELECT src, tgt, type, bool_or(uncertain) u, min(ord) o FROM e WHERE src <> tgt AND type IN {_DIR} GROUP BY ALL) SELECT p.src, p.tgt, p.type, bool_or(q.u) AS uncertain, min(q.o) AS ord FROM p JOIN p q ON p.src = q.src AND p.tgt = q.tgt AND (q.type = p.type OR (p.type, q.type) IN (SELECT (type, ancestor) FROM up)) WHERE NOT EXISTS (SELECT 1 FROM p r JOIN up ON up.type = r.type WHERE r.src = p.src AND r.tgt = p.tgt AND up.ancestor = p.type) GROUP BY ALL")
 def g2_lattice_merge(spark, d):
     e = edges(spark, d)
     return G.merge_types(G.no_self_loops(e).where(F.col("type").isin(*O.DIRECTED))).select("src", "tgt", "type", "uncertain", "ord")
 
 
-@query(f"WITH {_DENSE} SELECT least(src, tgt) AS src, greatest(src, tgt) AS tgt, type, bool_or(uncertain) AS uncertain FROM dn WHERE src <> tgt AND type IN {_SIB} GROUP BY 1, 2, 3")
+@query(f"WITH {_E} SELECT least(src, tgt) AS src, greatest(src, tgt) AS tgt, type, bool_or(uncertain) AS uncertain FROM e WHERE src <> tgt AND type IN {_SIB} GROUP BY 1, 2, 3")
 def g3_sibling_pairs(spark, d):
     e = G.no_self_loops(edges(spark, d)).where(F.col("type").isin(*O.SIBLING))
     return G.merge_types(G.undirected(e)).select("src", "tgt", "type", "uncertain")
@@ -130,21 +138,23 @@ def g6_direction_swap(spark, d):
     return G.swap_historical(edges(spark, d), older_languages(spark, d)).select("src", "tgt", "type", "ord")
 
 
+#: The whole graph without loops, and all that is reached along it.
+_SP = "sp AS (SELECT DISTINCT src, tgt FROM e WHERE src <> tgt)"
 _REACH = "re AS (SELECT src AS a, tgt AS b FROM sp UNION SELECT re.a, sp.tgt FROM re JOIN sp ON re.b = sp.src)"
 
 
-@query(f"WITH RECURSIVE {_DENSE}, sp AS (SELECT DISTINCT src, tgt FROM dn WHERE src <> tgt AND type = 'eponym'), {_REACH} SELECT src, tgt FROM sp WHERE (tgt, src) IN (SELECT (a, b) FROM re)")
+@query(f"WITH RECURSIVE {_E}, {_SP}, {_REACH} SELECT src, tgt FROM sp WHERE (tgt, src) IN (SELECT (a, b) FROM re)")
 def g7_cycle_edges(spark, d):
     e = cut(simple(spark, d))
     return G.on_cycles(e, G.strong_components(e)).select("src", "tgt")
 
 
-@query(f"WITH RECURSIVE {_SPARSE}, {_REACH}, m AS (SELECT x.a, x.b FROM re x JOIN re y ON x.a = y.b AND x.b = y.a) SELECT a AS node, min(b) AS scc FROM m GROUP BY a HAVING count(*) > 1")
+@query(f"WITH RECURSIVE {_E}, {_SP}, {_REACH}, m AS (SELECT x.a, x.b FROM re x JOIN re y ON x.a = y.b AND x.b = y.a) SELECT a AS node, min(b) AS scc FROM m GROUP BY a HAVING count(*) > 1")
 def g9_scc(spark, d):
     return G.strong_components(simple(spark, d))
 
 
-@query(f"WITH RECURSIVE {_DAG}, re AS (SELECT src AS a, tgt AS b FROM dg UNION SELECT re.a, dg.tgt FROM re JOIN dg ON re.b = dg.src) SELECT src, tgt FROM dg WHERE NOT EXISTS (SELECT 1 FROM dg w JOIN re ON re.a = w.tgt WHERE w.src = dg.src AND w.tgt <> dg.tgt AND re.b = dg.tgt)")
+@query(f"WITH RECURSIVE {_E}, {_SP}, {_REACH}, dg AS (SELECT src, tgt FROM sp WHERE (tgt, src) NOT IN (SELECT (a, b) FROM re)), rd AS (SELECT src AS a, tgt AS b FROM dg UNION SELECT rd.a, dg.tgt FROM rd JOIN dg ON rd.b = dg.src) SELECT src, tgt FROM dg WHERE NOT EXISTS (SELECT 1 FROM dg w JOIN rd ON rd.a = w.tgt WHERE w.src = dg.src AND rd.b = dg.tgt)")
 def g10_transitive_reduction(spark, d):
     """The whole relation graph, its cycle edges set aside, without what longer paths imply."""
     e = acyclic(simple(spark, d))
@@ -154,20 +164,13 @@ def g10_transitive_reduction(spark, d):
 _WEAK = "bo AS (SELECT src, tgt FROM e WHERE src <> tgt UNION SELECT tgt, src FROM e WHERE src <> tgt), wc AS (SELECT src AS a, tgt AS b FROM bo UNION SELECT wc.a, bo.tgt FROM wc JOIN bo ON wc.b = bo.src)"
 
 
-_VSPARSE = _SPARSE.replace("sp AS", "e AS").replace("l_quantity <= 2", "l_quantity = 1")
-
 
-@query(f"WITH RECURSIVE {_VSPARSE}, {_WEAK} SELECT a AS node, least(a, min(b)) AS component FROM wc GROUP BY a")
+@query(f"WITH RECURSIVE {_E}, {_WEAK} SELECT a AS node, least(a, min(b)) AS component FROM wc GROUP BY a")
 def g11_weak_components(spark, d):
     return G.weak_components(simple(spark, d))
 
 
-@query()
-def g11_relation_components(spark, d):
-    return G.weak_components(edges(spark, d))
-
-
-@query()
+@query(f"WITH RECURSIVE {_E}, bo AS (SELECT src, tgt FROM e WHERE src <> tgt AND type IN {_DIR} UNION SELECT tgt, src FROM e WHERE src <> tgt AND type IN {_DIR}), wc AS (SELECT src AS a, tgt AS b FROM bo UNION SELECT wc.a, bo.tgt FROM wc JOIN bo ON wc.b = bo.src), r AS (SELECT DISTINCT least(src, tgt) AS src, greatest(src, tgt) AS tgt FROM e WHERE src <> tgt AND type = 'related') SELECT src, tgt FROM r WHERE (src, tgt) NOT IN (SELECT (a, b) FROM wc)")
 def g12_intra_component_prune(spark, d):
     e = G.no_self_loops(edges(spark, d))
     related = G.undirected(e.where("type = 'related'").select("src", "tgt")).distinct()
@@ -179,16 +182,19 @@ def g13_full_reduction(spark, d):
     return G.reduce_graph(edges(spark, d), older_languages(spark, d)).select("src", "tgt", "type", "text", "uncertain", "store")
 
 
-@query(f"""WITH RECURSIVE {_E}, x AS (SELECT string_split(src, '#')[-2] AS a, string_split(tgt, '#')[-2] AS b FROM e WHERE type IN {_DIR}), c AS (SELECT a, b, count(*) AS n FROM x WHERE a <> b GROUP BY ALL)
-SELECT c.a AS src, c.b AS tgt, round(c.n / (c.n + coalesce(r.n, 0)), 6) AS odds FROM c LEFT JOIN c r ON c.a = r.b AND c.b = r.a WHERE c.n >= 3 AND c.n / (c.n + coalesce(r.n, 0)) > 0.6""")
+@query(f"WITH RECURSIVE {_E}, {_LANGS}, {_reduced('lt')} SELECT lt.src, lt.tgt, round(odds, 6) AS odds FROM lt JOIN lt_kept k ON lt.src = k.src AND lt.tgt = k.tgt")
 def g14_tree_inference(spark, d):
     """The tree of languages by how often inherited words went one way rather than the other (A27, J6), without cycles
     and without what longer paths imply."""
     return language_tree(edges(spark, d)).select("src", "tgt", F.round("odds", 6).alias("odds"))
 
 
-@query("""WITH la AS (SELECT code, min(canonical_name) AS name, min(nullif(parent, '')) AS parent, min(nullif(family, '')) AS family FROM language_data GROUP BY code), fa AS (SELECT DISTINCT code FROM language_families)
-SELECT coalesce(p.code, f.code) AS parent, l.code AS child FROM la l LEFT JOIN (SELECT name, min(code) AS code FROM la GROUP BY name) p ON l.parent = p.name LEFT JOIN fa f ON l.family = f.code WHERE coalesce(p.code, f.code) IS NOT NULL""")
+@query(f"""{_FAM.rstrip().rstrip(",")}, {_E}, {_LANGS}, {_reduced('lt')},
+la AS (SELECT code, min(canonical_name) AS name, min(nullif(parent, '')) AS parent, min(nullif(family, '')) AS family FROM language_data GROUP BY code), fa AS (SELECT DISTINCT code FROM language_families),
+kn AS (SELECT coalesce('L' || p.code, 'F' || f.code) AS src, 'L' || l.code AS tgt FROM la l LEFT JOIN (SELECT name, min(code) AS code FROM la GROUP BY name) p ON l.parent = p.name LEFT JOIN fa f ON l.family = f.code UNION SELECT 'F' || parent, 'F' || code FROM lnk),
+kk AS (SELECT 'L' || code AS node FROM la UNION SELECT kn.src FROM kn JOIN kk ON kn.tgt = kk.node WHERE kn.src IS NOT NULL),
+gt AS (SELECT src, tgt FROM kn WHERE src <> tgt AND tgt IN (SELECT node FROM kk) UNION SELECT 'L' || src, 'L' || tgt FROM lt_kept WHERE src IN (SELECT code FROM la) AND tgt IN (SELECT code FROM la)), {_reduced('gt')}
+SELECT substr(src, 2) AS parent, substr(tgt, 2) AS child FROM gt_kept""")
 def g15_language_tree(spark, d):
     """The families and languages above every language, reduced.
 
@@ -273,14 +279,14 @@ def g23_coverage(spark, d):
     return n.join(u, "node", "left").groupBy("kind").agg(F.count_distinct("node").alias("n"), F.count_distinct(F.when(F.col("u"), F.col("node"))).alias("n_in_graph"))
 
 
-@query(f"WITH RECURSIVE {_VSPARSE}, {_WEAK}, l AS (SELECT a AS node, least(a, min(b)) AS c FROM wc GROUP BY a), s AS (SELECT c, count(*) AS k FROM l GROUP BY c) SELECT sum(k)::BIGINT AS n_nodes, count(*) AS n_components, max(k) AS largest, min(k) AS smallest, round(avg(k), 6) AS mean_size, mode(k) AS modal, round(sum(k * k) / sum(k), 6) AS expected_size FROM s")
+@query(f"WITH RECURSIVE {_E}, {_WEAK}, l AS (SELECT a AS node, least(a, min(b)) AS c FROM wc GROUP BY a), s AS (SELECT c, count(*) AS k FROM l GROUP BY c) SELECT sum(k)::BIGINT AS n_nodes, count(*) AS n_components, max(k) AS largest, min(k) AS smallest, round(avg(k), 6) AS mean_size, mode(k) AS modal, round(sum(k * k) / sum(k), 6) AS expected_size FROM s")
 def a17_component_summary(spark, d):
     s = G.weak_components(simple(spark, d)).groupBy("component").agg(F.count("*").alias("k"))
     return s.agg(F.sum("k").alias("n_nodes"), F.count("*").alias("n_components"), F.max("k").alias("largest"), F.min("k").alias("smallest"), F.round(F.avg("k"), 6).alias("mean_size"), F.mode("k").alias("modal"), F.round(F.sum(F.col("k") * F.col("k")) / F.sum("k"), 6).alias("expected_size"))
 
 
-@query(f"""WITH {_DENSE}, {_UP}, p AS (SELECT src, tgt, type, count(*) AS k FROM dn WHERE src <> tgt AND type IN {_DIR} GROUP BY ALL), q AS (SELECT p.*, EXISTS (SELECT 1 FROM p r JOIN up ON up.type = r.type WHERE r.src = p.src AND r.tgt = p.tgt AND up.ancestor = p.type) AS gone FROM p)
-SELECT (SELECT count(*) FROM dn WHERE src = tgt) AS selfloop, CAST(sum(CASE WHEN gone THEN 0 ELSE k - 1 END) AS BIGINT) AS merge_equal, CAST(sum(CASE WHEN gone THEN k ELSE 0 END) AS BIGINT) AS merge_more_specific, CAST(count(*) FILTER (NOT gone) AS BIGINT) AS n_edges,
+@query(f"""WITH {_E}, {_UP}, p AS (SELECT src, tgt, type, count(*) AS k FROM e WHERE src <> tgt AND type IN {_DIR} GROUP BY ALL), q AS (SELECT p.*, EXISTS (SELECT 1 FROM p r JOIN up ON up.type = r.type WHERE r.src = p.src AND r.tgt = p.tgt AND up.ancestor = p.type) AS gone FROM p)
+SELECT (SELECT count(*) FROM e WHERE src = tgt) AS selfloop, CAST(sum(CASE WHEN gone THEN 0 ELSE k - 1 END) AS BIGINT) AS merge_equal, CAST(sum(CASE WHEN gone THEN k ELSE 0 END) AS BIGINT) AS merge_more_specific, CAST(count(*) FILTER (NOT gone) AS BIGINT) AS n_edges,
 round(sum(CASE WHEN gone THEN k ELSE k - 1 END) / sum(k), 6) AS redundancy FROM q""")
 def a15_event_counts(spark, d):
     """What merging did to the directed edges, and their redundancy."""
