@@ -4,77 +4,89 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
 _HEADING = re.compile(r"^(={1,6})[ \t]*(.+?)[ \t]*\1[ \t]*$", re.M)
 _LINK = re.compile(r"\[\[([^\[\]|]*)(?:\|([^\[\]]*))?\]\]")
-_INDEXED = re.compile(r"(\D+)(\d+)")
+_BRACE = re.compile(r"[{}]")
 
-#: Template names by the relation they state, the first being the full name.
+#: Template names by the relation they state, the first being the full name; names are parted by commas.
 RELATIONS = """
-derivation: derived der der+
-inheritance: inherited inh inh+
-borrowing: borrowed bor bor+
-learned borrowing: learned_borrowing lbor lbor+
-orthographic borrowing: orthographic_borrowing obor obor+
-semi-learned borrowing: semi-learned_borrowing slbor slb slb+
-unadapted borrowing: unadapted_borrowing ubor ubor+
-root: root ar-root
-calque: calque cal clq calq
-partial calque: partial_calque pclq
-semantic loan: semantic_loan sl sml
-phono-semantic matching: phono-semantic_matching psm
-related: mention m m+ langname-mention m-self link l l-self ll ja-r rel2 rel3 rel4 col2 col3 col4 der2 der3 der4
-clipping: clipping clipping_of
-back-formation: back-formation back-form backform bf
-onomatopoeic: onomatopoeic onom
-unknown: unknown unk
-shortening: short_for
+derivation: derived, der, der+
+inheritance: inherited, inh, inh+
+borrowing: borrowed, bor, bor+
+learned borrowing: learned borrowing, lbor, lbor+
+orthographic borrowing: orthographic borrowing, obor, obor+
+semi-learned borrowing: semi-learned borrowing, slbor, slb, slb+
+unadapted borrowing: unadapted borrowing, ubor, ubor+
+root: root, ar-root
+calque: calque, cal, clq, calq
+partial calque: partial calque, pclq
+semantic loan: semantic loan, sl, sml
+phono-semantic matching: phono-semantic matching, psm
+related: mention, m, m+, langname-mention, m-self, link, l, l-self, ll, ja-r, rel2, rel3, rel4, col2, col3, col4, der2, der3, der4
+clipping: clipping, clipping of
+back-formation: back-formation, back-form, backform, bf
+onomatopoeic: onomatopoeic, onom
+unknown: unknown, unk
+shortening: short for
 abbreviation: abbrev
-alternative form: alternative_form_of alt_form
-cognate: cognate cog
-noncognate: noncognate noncog ncog
-morphological: affix af
-prefix: prefix pre
-confix: confix con
+alternative form: alternative form of, alt form
+cognate: cognate, cog
+noncognate: noncognate, noncog, ncog
+morphological: affix, af
+prefix: prefix, pre
+confix: confix, con
 infix: infix
 circumfix: circumfix
-suffix: suffix suf
-compound: compound com
-univerbation: univerbation univ
-blending: blending blend
-doublet: doublet dbt
+suffix: suffix, suf
+compound: compound, com
+univerbation: univerbation, univ
+blending: blending, blend
+doublet: doublet, dbt
 eponym: named-after
-inheritance*: desc desctree descendant
+inheritance*: desc, desctree, descendant
 """
 #: What flags of a descendant template make of its relation.
 FLAGS = {"bor": "borrowing", "lbor": "learned borrowing", "slb": "semi-learned borrowing", "cal": "calque", "calq": "calque", "clq": "calque", "pclq": "partial calque", "sml": "semantic loan", "der": "derivation"}
-NAMES = {n.replace("_", " "): t.strip() for line in RELATIONS.strip().split("\n") for t, ns in [line.split(":")] for n in ns.split()}
+NAMES = {n.strip(): t.strip() for line in RELATIONS.strip().split("\n") for t, ns in [line.split(":")] for n in ns.split(",")}
 #: Templates with a source language before the target's; several targets of one language; one language and one target.
 _FROM = {"derivation", "inheritance", "borrowing", "learned borrowing", "orthographic borrowing", "semi-learned borrowing", "unadapted borrowing", "calque", "partial calque", "semantic loan", "phono-semantic matching"}
 _MANY = {"morphological", "prefix", "confix", "infix", "circumfix", "suffix", "compound", "univerbation", "blending", "doublet"}
 _MANY_NAMES = {"rel2", "rel3", "rel4", "col2", "col3", "col4", "der2", "der3", "der4"}
-_GLOSS = {"t", "gloss"}
+#: What a target may say besides its language and term, by the parameters that say it.
+FIELDS = {"t": ("t", "gloss"), "alt": ("alt",), "id": ("id",), "tr": ("tr",), "lit": ("lit",), "pos": ("pos",)}
+
+
+def outermost(spans: list[tuple[int, int]]) -> list[tuple[int, int, bool]]:
+    """Spans that no other contains, in order, and whether they contain others; of equal spans one."""
+    out: list[tuple[int, int, bool]] = []
+    for start, end in sorted(set(spans), key=lambda x: (x[0], -x[1])):
+        if out and start < out[-1][1]:
+            out[-1] = (*out[-1][:2], True)
+        else:
+            out.append((start, end, False))
+    return out
 
 
 def templates(text: str) -> list[tuple[int, int, str]]:
     """Outermost templates as (start, end, inside), found by matching braces; unclosed ones are left out."""
-    out, stack, i = [], [], 0
+    spans, stack, i = [], [], 0
     while i < len(text) - 1:
         two = text[i : i + 2]
         if two == "{{":
             stack.append(i)
             i += 2
         elif two == "}}" and stack:
-            start = stack.pop()
             i += 2
-            if not stack:
-                out.append((start, i, text[start + 2 : i - 2]))
+            spans.append((stack.pop(), i))
         else:
-            i += 1
-    return out
+            jump = _BRACE.search(text, i + 1)
+            i = jump.start() if jump else len(text)
+    return [(a, b, text[a + 2 : b - 2]) for a, b, _ in outermost(spans)]
 
 
 def arguments(inside: str) -> tuple[str, list[str], dict[str, str]]:
@@ -122,33 +134,65 @@ def link_target(target: str) -> tuple[str, str | None, str | None]:
     return t, None, prefix
 
 
-def relation(name: str, pos: list[str], named: dict[str, str]) -> tuple[str, bool, list[tuple[str | None, str | None, str | None]]] | None:
-    """(type, uncertain, [(language, term, gloss)]) a template states, or None. No targets: the origin isn't a word."""
+@dataclass
+class Stated:
+    """What a template states: targets are dicts of language, term, t, alt, id, tr, lit, pos, or of an entity's name, born,
+    died, nat, occ, wplink; ``targets`` None means that the origin isn't a word."""
+
+    type: str
+    uncertain: bool = False
+    source: dict[str, str] = field(default_factory=dict)
+    targets: list[dict[str, str]] | None = None
+    text: str | None = None
+
+
+def _extras(named: dict[str, str], n: int | None = None) -> dict[str, str]:
+    """The fields of FIELDS, or those numbered ``n``; an empty value is none."""
+    tail = "" if n is None else str(n)
+    return {f: v for f, names in FIELDS.items() if (v := next((named[k + tail] for k in names if named.get(k + tail)), None))}
+
+
+def _target(pos: list[str], named: dict[str, str]) -> dict[str, str]:
+    """Language, term, alt and gloss by position, the rest by name; an empty alt is kept, as it means the term."""
+    out = dict(zip(("language", "term", "alt", "t"), pos))
+    if not out.get("t"):
+        out.pop("t", None)
+    return out | _extras(named)
+
+
+def relation(name: str, pos: list[str], named: dict[str, str]) -> Stated | None:
+    """What the template states, or None. A template of one source and targets takes its first argument as the source's
+    language; flags of descendant templates name the relation."""
     kind = NAMES.get(name) or ("related" if name.endswith(("-of", " of")) else None)
     if kind is None:
         return None
-    uncertain = bool(named.get("unc"))
-    gloss = next((named[k] for k in _GLOSS if named.get(k)), None)
+    out = Stated(kind, bool(named.get("unc")))
+    at = lambda i: pos[i] if len(pos) > i else None
     if kind in ("onomatopoeic", "unknown"):
-        return kind, uncertain, []
+        return out
     if kind.endswith("*"):
-        kind = next((t for f, t in FLAGS.items() if named.get(f)), kind[:-1])
-        return kind, uncertain, [(pos[0] if pos else None, pos[1] if len(pos) > 1 else None, gloss)]
-    if name == "ar-root":
-        return kind, uncertain, [("ar", " ".join(pos), gloss)]
-    if name == "ja-r":
-        return kind, uncertain, [("ja", named.get("linkto") or (pos[0] if pos else None), gloss)]
-    if kind == "eponym":
-        return kind, uncertain, [(None, pos[1] if len(pos) > 1 else None, None)]
-    if kind == "root":
-        return kind, uncertain, [(pos[1] if len(pos) > 1 else None, t, None) for t in pos[2:] if t]
-    if kind in _MANY or name in _MANY_NAMES:
-        lang = named.get("lang") or (pos[0] if pos else None)
-        terms = pos if named.get("lang") else pos[1:]
-        return kind, uncertain, [(named.get(f"lang{i}", lang), t, named.get(f"gloss{i}") or named.get(f"t{i}")) for i, t in enumerate(terms, 1) if t]
-    if kind in _FROM:
-        return kind, uncertain, [(pos[1] if len(pos) > 1 else None, pos[2] if len(pos) > 2 else None, gloss or (pos[4] if len(pos) > 4 else None))]
-    return kind, uncertain, [(pos[0] if pos else None, pos[1] if len(pos) > 1 else None, gloss or (pos[3] if len(pos) > 3 else None))]
+        out.type = next((t for f, t in FLAGS.items() if named.get(f)), kind[:-1])
+        out.targets = [_target(pos, named)]
+    elif name == "ar-root":
+        out.targets = [{"language": "ar", "term": " ".join(pos)} | _extras(named)]
+    elif name == "ja-r":
+        term = {"term": named["linkto"], "alt": at(0) or ""} if named.get("linkto") else {"term": at(0) or ""}
+        out.targets = [{"language": "ja"} | term | ({"tr": pos[1]} if at(1) else {}) | _extras(named)]
+    elif kind == "eponym":
+        out.source = {"language": at(0)} if at(0) else {}
+        out.targets = [{"name": at(1)} | {k: named[k] for k in ("born", "died", "nat", "occ", "wplink") if named.get(k)}] if at(1) else []
+    elif kind == "root":
+        out.source = {"language": at(0)} if at(0) else {}
+        out.targets = [{"language": at(1), "term": t} | _extras(named, i) for i, t in enumerate(pos[2:], 1) if t]
+    elif kind in _MANY or name in _MANY_NAMES:
+        lang = named.get("lang") or at(0)
+        out.targets = [{"language": named.get(f"lang{i}", lang), "term": t} | _extras(named, i) for i, t in enumerate(pos if named.get("lang") else pos[1:], 1) if t]
+    elif kind in _FROM:
+        out.source = {"language": at(0)} if at(0) else {}
+        out.targets = [_target(pos[1:], named)]
+    else:
+        out.targets = [_target(pos, named)]
+    return out
 
 
 def sections(text: str) -> list[tuple[list[str], str]]:
@@ -165,16 +209,17 @@ def sections(text: str) -> list[tuple[list[str], str]]:
     return out
 
 
-_SCHEMA = "rec_key bigint, sec_pos int, path array<string>, tpl_pos int, type string, uncertain boolean, language string, term string, gloss string"
-_NAMES = ["rec_key", "sec_pos", "path", "tpl_pos", "type", "uncertain", "language", "term", "gloss"]
-_TYPES = [pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.string(), pa.bool_(), pa.string(), pa.string(), pa.string()]
+_FIELDS = ("language", "term", *FIELDS, "name")
+_SCHEMA = "rec_key bigint, sec_pos int, path array<string>, tpl_pos int, type string, uncertain boolean, source_language string, target boolean, " + ", ".join(f"{f} string" for f in _FIELDS)
+_NAMES = ["rec_key", "sec_pos", "path", "tpl_pos", "type", "uncertain", "source_language", "target", *_FIELDS]
+_TYPES = [pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.string(), pa.bool_(), pa.string(), pa.bool_(), *(pa.string() for _ in _FIELDS)]
 
 
 def extract_relations(df: DataFrame, key: Column, text: Column) -> DataFrame:
     """One row per target of each relation template of each section.
 
-    Null and empty texts give no rows, templates without a word as target one row with a null term. Repeated rows come
-    out repeated.
+    Null and empty texts give no rows, templates without a word as target one row with ``target`` false (a phantom node).
+    Repeated rows come out repeated.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +229,7 @@ def extract_relations(df: DataFrame, key: Column, text: Column) -> DataFrame:
                 for i, (path, body) in enumerate(sections(t or ""), 1):
                     for j, (_, _, inside) in enumerate(templates(body), 1):
                         if r := relation(*arguments(inside)):
-                            rows += [(k, i, path, j, r[0], r[1], *x) for x in r[2] or [(None, None, None)]]
+                            rows += [(k, i, path, j, r.type, r.uncertain, r.source.get("language"), bool(x), *(x.get(f) for f in _FIELDS)) for x in r.targets or [{}]]
             cols = list(zip(*rows)) if rows else [[] for _ in _NAMES]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _TYPES)], _NAMES)
 
