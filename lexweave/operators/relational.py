@@ -21,6 +21,10 @@ class EntryQuery:
             self._criteria.append(F.col(column).isin(*values))
         return self
 
+    def equal(self, column: str, value) -> EntryQuery:
+        self._criteria.append(F.col(column) == value)
+        return self
+
     def matching(self, column: str, pattern: str) -> EntryQuery:
         """A regular expression found anywhere in the column."""
         self._criteria.append(F.col(column).rlike(pattern))
@@ -56,10 +60,20 @@ def clean_revisions(revisions: DataFrame) -> DataFrame:
     return revisions.select("page_id", "id", "timestamp", who.alias("contributor"), F.coalesce("minor", F.lit(False)).alias("minor")).where("id is not null").distinct()
 
 
-def last_per(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
-    """The last row of each group; ``order`` must be total for a defined result."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
+def last_per(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """The row of each group with the largest values of ``order``, which must tell rows apart for a defined result.
+
+    It is a maximum, not a window: a group of any size is reduced where its rows lie before anything is shuffled.
+    """
+    rest = [c for c in df.columns if c not in by and c not in order]
+    top = df.groupBy(*by).agg(F.max(F.struct(*order, *rest)).alias("_top"))
+    return top.select(*by, "_top.*").select(*df.columns)
+
+
+def first_per(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """The row with the smallest values."""
+    rest = [c for c in df.columns if c not in by and c not in order]
+    return df.groupBy(*by).agg(F.min(F.struct(*order, *rest)).alias("_top")).select(*by, "_top.*").select(*df.columns)
 
 
 def right_closed_bin(ts: Column, unit: str) -> Column:
@@ -67,13 +81,15 @@ def right_closed_bin(ts: Column, unit: str) -> Column:
     return F.date_trunc(unit, ts - F.expr("interval 1 microsecond")).cast("timestamp_ntz")
 
 
-def forward_fill(df: DataFrame, key: str, at: str, value: str, spine: DataFrame) -> DataFrame:
-    """Every key on every point of ``spine`` (one column, named as ``at``) from its first row on, with the last value known.
+def forward_fill(df: DataFrame, key: str, at: str, value: str, step: str) -> DataFrame:
+    """Every key on every bin, ``step`` apart, from its first row to the last bin of all, with the last value known.
 
-    A null value is a value: only points without a row inherit.
+    A null value is a value: only bins without a row inherit. A key's bins are made from its own first one; the last bin
+    of all is one row.
     """
+    end = df.agg(F.max(at).alias("_end"))
     first = df.groupBy(key).agg(F.min(at).alias("_first"))
-    full = first.join(F.broadcast(spine)).where(F.col(at) >= F.col("_first")).select(key, at)
+    full = first.join(F.broadcast(end)).select(key, F.explode(F.sequence("_first", "_end", F.expr(f"interval {step}"))).alias(at))
     rows = full.join(df.select(key, at, F.struct(value).alias("_v")), [key, at], "left")
     w = Window.partitionBy(key).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
     return rows.select(key, at, F.last("_v", ignorenulls=True).over(w)[value].alias(value))

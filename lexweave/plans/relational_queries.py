@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lexweave.operators import glosses as G
 from lexweave.operators import relational as R
 from lexweave.operators.shred import assemble, shred
 from lexweave.plans.runtime import table
@@ -52,10 +53,13 @@ def f1_query_builder(spark, d):
     return R.EntryQuery(entries(spark, d)).where_in("language", "en", "fr").where_in("n_sections").filter(F.col("size") > 100).selector("entry_id", "language", "size").build()
 
 
-@query(f"WITH {_P} SELECT id, title FROM p WHERE regexp_matches(title, '^(User|Template):') OR title = 'zubupedev'")
+@query(f"WITH {_P} SELECT id, title, 'pattern' AS how FROM p WHERE regexp_matches(title, '^(User|Template):') UNION ALL SELECT id, title, 'exact' FROM p WHERE title = (SELECT max(title) FROM p)")
 def f2_title(spark, d):
+    """Titles by pattern, and pages of one title: the last in order."""
     p = pages(spark, d)
-    return p.where(F.col("title").rlike("^(User|Template):") | (F.col("title") == "zubupedev")).select("id", "title")
+    some = R.EntryQuery(p).matching("title", "^(User|Template):").selector("id", "title").build().withColumn("how", F.lit("pattern"))
+    last = p.agg(F.max("title")).first()[0]
+    return some.unionByName(R.EntryQuery(p).equal("title", last).selector("id", "title").build().withColumn("how", F.lit("exact")))
 
 
 @query(f"WITH {_P} SELECT id, ns FROM p WHERE ns IN (0, 118)")
@@ -95,11 +99,12 @@ _BOT = "regexp_matches(lower(username), 'bot$')"
 @query(f"WITH {_R}, {_P}, {_N}, l AS (SELECT r.*, row_number() OVER (PARTITION BY page_id ORDER BY timestamp DESC, id DESC) AS k FROM r) SELECT l.id, l.page_id FROM l WHERE page_id IN (SELECT id FROM p WHERE ns = 0) AND contributor NOT IN (SELECT contributor FROM n WHERE {_BOT}) AND (NOT minor OR k = 1)")
 def f11_revision_filters(spark, d):
     """Main-namespace revisions by others than bots, minor ones only if the page's last."""
-    w = Window.partitionBy("page_id").orderBy(F.desc("timestamp"), F.desc("id"))
     main = pages(spark, d).where("ns = 0").select(F.col("id").alias("page_id"))
     bots = names(spark, d).where(F.lower("username").rlike("bot$")).select("contributor")
-    r = revs(spark, d).withColumn("k", F.row_number().over(w))
-    return r.join(main, "page_id", "left_semi").join(bots, "contributor", "left_anti").where("not minor or k = 1").select("id", "page_id")
+    r = revs(spark, d)
+    last = r.groupBy("page_id").agg(F.max(F.struct("timestamp", "id"))["id"].alias("id")).select("page_id", "id", F.lit(True).alias("last"))
+    r = r.join(main, "page_id", "left_semi").join(bots, "contributor", "left_anti").join(last, ["page_id", "id"], "left")
+    return r.where("not minor or last").select("id", "page_id").distinct()
 
 
 @query(f"WITH {_E} SELECT entry_id, language FROM en WHERE language IS NOT NULL AND NOT starts_with(language, '?')")
@@ -157,16 +162,18 @@ def a4_bot_only_ratio(spark, d):
     return b.agg(F.count("*").alias("n_pages"), F.count_if("only").alias("n_bot_only"), F.round(F.count_if("only") / F.count("*"), 6).alias("ratio"))
 
 
-@query(f"WITH {_E} SELECT language, count(*) AS n, sum(size)::BIGINT AS size, max(n_sections) AS most_sections, bool_or(has_etymology) AS has_etymology FROM en WHERE language IN ('en','fr','de','es') GROUP BY 1")
+@query(f"WITH {_E} SELECT language, count(*) AS n, sum(size)::BIGINT AS size, max(n_sections) AS most_sections, bool_or(has_etymology) AS has_etymology FROM en GROUP BY 1")
 def a30_entry_statistics(spark, d):
-    return entries(spark, d).where(F.col("language").isin("en", "fr", "de", "es")).groupBy("language").agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.max("n_sections").alias("most_sections"), F.bool_or("has_etymology").alias("has_etymology"))
+    return entries(spark, d).groupBy("language").agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.max("n_sections").alias("most_sections"), F.bool_or("has_etymology").alias("has_etymology"))
 
 
-@query(f"WITH {_R}, {_E} SELECT date_trunc('week', timestamp)::TIMESTAMP AS week, " + ", ".join(f"count(*) FILTER (language = '{x}') AS {x}" for x in ("en", "fr", "de")) + " FROM r JOIN en ON r.id = en.revision_id GROUP BY 1")
+@query(f"SELECT * FROM (PIVOT (WITH {_R}, {_E} SELECT language, strftime(date_trunc('week', timestamp), 'w%Y%m%d') AS wk FROM r JOIN en ON r.id = en.revision_id WHERE language <> '') ON wk USING count(*) GROUP BY language)")
 def a6_pivot_fill0(spark, d):
-    j = revs(spark, d).join(entries(spark, d), F.col("id") == F.col("revision_id"))
-    p = j.groupBy(F.date_trunc("week", "timestamp").cast("timestamp_ntz").alias("week")).pivot("language", ["en", "fr", "de"]).agg(F.count(F.lit(1)))
-    return p.fillna(0)
+    """Every language's entries by week, a column a week, 0 where there are none."""
+    week = F.date_format(F.date_trunc("week", "timestamp"), "'w'yyyyMMdd").alias("wk")
+    j = revs(spark, d).select("id", week).join(entries(spark, d).where("language <> ''"), F.col("id") == F.col("revision_id"))
+    weeks = [r.wk for r in j.select("wk").distinct().orderBy("wk").collect()]  # as many as the data has weeks
+    return j.groupBy("language").pivot("wk", weeks).agg(F.count(F.lit(1))).fillna(0)
 
 
 @query(f"WITH {_E} SELECT CASE WHEN size IS NULL THEN 'none' WHEN size < 200 THEN 'small' WHEN size < 1000 THEN 'medium' ELSE 'large' END AS bucket, count(*) AS n FROM en GROUP BY 1")
@@ -175,13 +182,13 @@ def a7_case_bucket(spark, d):
     return entries(spark, d).groupBy(b.alias("bucket")).agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {_R}, c AS (SELECT contributor, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, contributor) AS k FROM r GROUP BY 1), t(top) AS (VALUES (10), (100), (1000)) SELECT top, round(sum(n) FILTER (k <= top) / sum(n), 6) AS share FROM c, t GROUP BY top")
+@query(f"WITH {_R}, c AS (SELECT contributor, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, contributor) AS k FROM r GROUP BY 1), t(top) AS (VALUES (10), (100), (1000), (100000)) SELECT top, round(sum(n) FILTER (k <= top) / sum(n), 6) AS share FROM c, t GROUP BY top")
 def a10_topk_share(spark, d):
     c = revs(spark, d).groupBy("contributor").agg(F.count("*").alias("n"))
-    best = c.orderBy(F.desc("n"), "contributor").limit(1000).withColumn("k", F.row_number().over(Window.orderBy(F.desc("n"), "contributor")))
+    best = c.orderBy(F.desc("n"), "contributor").limit(100_000).withColumn("k", F.row_number().over(Window.orderBy(F.desc("n"), "contributor")))
     total = c.agg(F.sum("n").alias("t"))
-    s = best.agg(*(F.sum(F.when(F.col("k") <= k, F.col("n"))).alias(str(k)) for k in (10, 100, 1000))).join(total)
-    return s.select(F.explode(F.array(*(F.struct(F.lit(k).alias("top"), F.round(F.col(str(k)) / F.col("t"), 6).alias("share")) for k in (10, 100, 1000))))).select("col.*")
+    s = best.agg(*(F.sum(F.when(F.col("k") <= k, F.col("n"))).alias(str(k)) for k in (10, 100, 1000, 100_000))).join(total)
+    return s.select(F.explode(F.array(*(F.struct(F.lit(k).alias("top"), F.round(F.col(str(k)) / F.col("t"), 6).alias("share")) for k in (10, 100, 1000, 100_000))))).select("col.*")
 
 
 @query(f"WITH {_R}, {_N}, x AS (SELECT CASE WHEN username IS NULL THEN -2 WHEN {_BOT} THEN 0 ELSE -1 END AS is_bot FROM r LEFT JOIN n ON r.contributor = n.contributor) SELECT is_bot, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM x GROUP BY 1")
@@ -216,7 +223,7 @@ def a23_graph_group(spark, d):
 
 @query(f"WITH {_R} SELECT page_id, id FROM r QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY timestamp DESC, id DESC) = 1")
 def w2_last_per_group(spark, d):
-    return R.last_per(revs(spark, d), ["page_id"], [F.desc("timestamp"), F.desc("id")]).select("page_id", "id")
+    return R.last_per(revs(spark, d), ["page_id"], ["timestamp", "id"]).select("page_id", "id")
 
 
 _BIN = "date_trunc('{}', timestamp - INTERVAL 1 MICROSECOND)::TIMESTAMP AS bin"
@@ -225,14 +232,14 @@ _BIN = "date_trunc('{}', timestamp - INTERVAL 1 MICROSECOND)::TIMESTAMP AS bin"
 @query(f"WITH {_R}, b AS (SELECT *, {_BIN.format('week')} FROM r) SELECT page_id, bin, id FROM b QUALIFY row_number() OVER (PARTITION BY page_id, bin ORDER BY timestamp DESC, id DESC) = 1")
 def w3_last_per_bin(spark, d):
     b = revs(spark, d).withColumn("bin", R.right_closed_bin(F.col("timestamp"), "week"))
-    return R.last_per(b, ["page_id", "bin"], [F.desc("timestamp"), F.desc("id")]).select("page_id", "bin", "id")
+    return R.last_per(b, ["page_id", "bin"], ["timestamp", "id"]).select("page_id", "bin", "id")
 
 
 @query(f"WITH {_R}, b AS (SELECT *, {_BIN.format('week')} FROM r), l AS (SELECT page_id, bin, minor FROM b QUALIFY row_number() OVER (PARTITION BY page_id, bin ORDER BY timestamp DESC, id DESC) = 1), s AS (SELECT DISTINCT bin FROM b), f AS (SELECT page_id, min(bin) AS f FROM l GROUP BY 1) SELECT f.page_id, s.bin, last_value(l.minor IGNORE NULLS) OVER (PARTITION BY f.page_id ORDER BY s.bin ROWS UNBOUNDED PRECEDING) AS minor FROM f JOIN s ON s.bin >= f.f LEFT JOIN l ON l.page_id = f.page_id AND l.bin = s.bin")
 def w4_forward_fill(spark, d):
     b = revs(spark, d).withColumn("bin", R.right_closed_bin(F.col("timestamp"), "week"))
-    last = R.last_per(b, ["page_id", "bin"], [F.desc("timestamp"), F.desc("id")])
-    return R.forward_fill(last, "page_id", "bin", "minor", b.select("bin").distinct())
+    last = R.last_per(b, ["page_id", "bin"], ["timestamp", "id"])
+    return R.forward_fill(last, "page_id", "bin", "minor", "7 days")
 
 
 @query(f"WITH {_R}, b AS (SELECT *, {_BIN.format('day')} FROM r) SELECT bin, count(*) AS n FROM b GROUP BY 1")
@@ -274,7 +281,8 @@ def w10_argmax(spark, d):
 
 @query("SELECT term, language, min(node_id) AS node_id FROM node WHERE term IS NOT NULL GROUP BY ALL")
 def w11_keep_first(spark, d):
-    return R.last_per(table(spark, d, "node").where("term is not null"), ["term", "language"], [F.asc("node_id")]).select("term", "language", "node_id")
+    n = table(spark, d, "node").where("term is not null").select("term", "language", "node_id")
+    return R.first_per(n, ["term", "language"], ["node_id"])
 
 
 @query(f"WITH {_R}, a AS (SELECT id FROM r WHERE minor), b AS (SELECT id FROM r WHERE contributor = '-') SELECT (SELECT count(*) FROM (SELECT id FROM a INTERSECT SELECT id FROM b)) AS n_both, (SELECT count(*) FROM (SELECT id FROM a EXCEPT SELECT id FROM b)) AS n_left")
@@ -306,14 +314,28 @@ def x15_heuristic_pos(spark, d):
     return x.select("node_id", F.contains("term", F.lit(" ")).alias("multiword"), pos.alias("pos"))
 
 
-@query("WITH g AS (SELECT DISTINCT node_id, term, language, gloss FROM node WHERE gloss <> ''), p AS (SELECT a.node_id AS a, b.node_id AS b, a.gloss AS x, b.gloss AS y FROM g a JOIN g b ON a.term = b.term AND a.language = b.language AND a.node_id < b.node_id) SELECT a, b, CASE WHEN levenshtein(x, y) <= 8 THEN levenshtein(x, y) ELSE -1 END::INT AS lev, (x = y) AS equal, round(coalesce(len(list_intersect(string_split(x, ' '), string_split(y, ' '))) / nullif(len(list_distinct(string_split(x, ' ') || string_split(y, ' '))), 0), 0), 6) AS overlap FROM p")
+_FIRST = "g AS (SELECT DISTINCT node_id, term, language, gloss FROM node WHERE gloss <> '' AND term IS NOT NULL AND language IS NOT NULL), f AS (SELECT term, language, min(node_id) AS a, arg_min(gloss, node_id::VARCHAR) AS x0 FROM g GROUP BY ALL), p AS (SELECT f.a, g.node_id AS b, (SELECT min(gloss) FROM g h WHERE h.node_id = f.a) AS x, g.gloss AS y FROM f JOIN g ON f.term = g.term AND f.language = g.language WHERE g.node_id <> f.a), t AS (SELECT *, list_distinct(regexp_extract_all(lower(x), '\\w+')) AS wx, list_distinct(regexp_extract_all(lower(y), '\\w+')) AS wy FROM p), c AS (SELECT *, len(list_intersect(wx, wy)) AS n FROM t)"
+
+
+def homonym_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """(a, b, x, y): the word's first lexeme with each other of the word, so a word has as many pairs as other lexemes."""
+    g = table(spark, d, "node").where("gloss <> '' and term is not null and language is not null").groupBy("term", "language", "node_id").agg(F.min("gloss").alias("gloss"), F.collect_set("gloss").alias("glosses"))
+    first = R.first_per(g.select("term", "language", "node_id", "gloss"), ["term", "language"], ["node_id"]).select("term", "language", F.col("node_id").alias("a"), F.col("gloss").alias("x"))
+    p = g.join(first, ["term", "language"]).where("node_id <> a")
+    return p.select("a", F.col("node_id").alias("b"), "x", F.explode("glosses").alias("y"))
+
+
+@query(f"WITH {_FIRST} SELECT a, b, CASE WHEN len(x) >= 50 OR len(y) >= 50 THEN -1 WHEN levenshtein(x, y) <= 8 THEN levenshtein(x, y) ELSE -1 END::INT AS lev, (x = y) AS equal, contains(y, x) AS a_in_b, contains(x, y) AS b_in_a, round(CASE WHEN n = 0 THEN 0 ELSE n / (n + 0.32 * (len(wy) - n) + 0.68 * (len(wx) - n)) END, 6) AS tversky FROM c")
 def x22_gloss_features(spark, d):
-    """Similarity of the glosses of homonyms."""
-    g = table(spark, d, "node").where("gloss <> ''").select("node_id", "term", "language", "gloss").distinct()
-    b = g.select("term", "language", F.col("node_id").alias("b"), F.col("gloss").alias("y"))
-    p = g.select("term", "language", F.col("node_id").alias("a"), F.col("gloss").alias("x")).join(b, ["term", "language"]).where("a < b")
-    wx, wy = F.split("x", " "), F.split("y", " ")
-    return p.select("a", "b", F.levenshtein("x", "y", 8).alias("lev"), (F.col("x") == F.col("y")).alias("equal"), F.round(F.size(F.array_intersect(wx, wy)) / F.size(F.array_union(wx, wy)), 6).alias("overlap"))
+    """Similarity of the glosses of homonyms."""
+    p = homonym_pairs(spark, d)
+    return p.select("a", "b", G.cutoff_levenshtein(F.col("x"), F.col("y"), 8).alias("lev"), (F.col("x") == F.col("y")).alias("equal"), F.contains("y", "x").alias("a_in_b"), F.contains("x", "y").alias("b_in_a"), F.round(G.tversky(G.words(F.col("x")), G.words(F.col("y"))), 6).alias("tversky"))
+
+
+@query()
+def x23_gloss_blocks(spark, d):
+    """Fuzzy overlap and matching blocks of the same pairs."""
+    return G.features(homonym_pairs(spark, d), "x", "y").select("a", "b", *(F.round(c, 6).alias(c) for c in ("fuzzy", "ratio", "longest", "word_ratio", "word_longest")))
 
 
 @query("WITH m AS (SELECT DISTINCT tgt.term AS term, tgt.language AS language FROM relation WHERE tgt.term IS NOT NULL) SELECT m.term, m.language FROM m WHERE NOT EXISTS (SELECT 1 FROM node WHERE node.term = m.term AND node.language = m.language)")
@@ -322,7 +344,9 @@ def n2_no_entry(spark, d):
     return m.join(table(spark, d, "node").select("term", "language"), ["term", "language"], "left_anti")
 
 
-@query("WITH x AS (SELECT DISTINCT node_id, term, language, kind FROM node) SELECT language, count(*) AS n, count(*) FILTER (kind = 'entry') AS n_entry FROM x GROUP BY 1 ORDER BY n DESC, language LIMIT 10")
-def w12_largest_languages(spark, d):
-    x = table(spark, d, "node").select("node_id", "term", "language", "kind").distinct()
-    return x.groupBy("language").agg(F.count("*").alias("n"), F.count_if(F.col("kind") == "entry").alias("n_entry")).orderBy(F.desc("n"), "language").limit(10)
+@query("WITH c AS (SELECT language, count(*) AS n FROM (SELECT DISTINCT node_id, language FROM node) GROUP BY 1), k AS (SELECT *, row_number() OVER (ORDER BY n DESC, language NULLS FIRST) AS rank FROM c) SELECT rank, language, n FROM k WHERE rank IN (1, 10, 50, 100, 200)")
+def w12_value_at_rank(spark, d):
+    """The languages at five ranks by size; the window sees a row a language."""
+    c = table(spark, d, "node").select("node_id", "language").distinct().groupBy("language").agg(F.count("*").alias("n"))
+    k = c.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), F.asc_nulls_first("language"))))
+    return k.where(F.col("rank").isin(1, 10, 50, 100, 200)).select("rank", "language", "n")

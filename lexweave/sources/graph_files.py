@@ -107,7 +107,9 @@ def expand_stubs(nodes: DataFrame, lexemes: DataFrame) -> DataFrame:
 
 
 def _csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).option("quoteAll", True).option("emptyValue", "").csv(path)
+    """All values quoted, quotation marks doubled, newlines as breaks, so that a row is a line."""
+    one = df.select(*(F.regexp_replace(F.col(f"`{c}`"), r"\n+", "<br/>").alias(c) if t == "string" else F.col(f"`{c}`") for c, t in df.dtypes))
+    one.write.option("header", True).option("quoteAll", True).option("emptyValue", "").option("escape", '"').csv(path)
 
 
 def _no_phantoms(edges: DataFrame, nodes: DataFrame) -> DataFrame:
