@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lexweave.plans import core_queries, explore_queries, graph_queries, relational_queries, text_queries
+from lexweave.plans import analytics_queries, core_queries, explore_queries, graph_queries, relational_queries, text_queries
 
-_MODULES = [core_queries, graph_queries, explore_queries, relational_queries, text_queries]
+_MODULES = [analytics_queries, core_queries, graph_queries, explore_queries, relational_queries, text_queries]
 
 
 def queries() -> dict:
