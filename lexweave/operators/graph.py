@@ -11,7 +11,7 @@ about that size, each of which is one task's work in memory; larger ones go thro
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -110,13 +110,65 @@ def absorb_related(edges: DataFrame) -> DataFrame:
     return closer.unionByName(left)
 
 
+class _Sets:
+    """Disjoint sets of ids; the smallest id of a set stands for it."""
+
+    def __init__(self) -> None:
+        self.up: dict[str, str] = {}
+
+    def top(self, x: str) -> str:
+        up = self.up
+        y = up.setdefault(x, x)
+        while y != x:
+            up[x] = z = up[y]
+            x, y = y, z
+        return x
+
+    def join(self, xs: list[str], ys: list[str]) -> None:
+        for x, y in zip(xs, ys):
+            x, y = self.top(x), self.top(y)
+            if x != y:
+                self.up[max(x, y)] = min(x, y)
+
+
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges as links to the smallest node that they connect each node to, for each LOCAL_EDGES edges of a task."""
+    sets, held = _Sets(), 0
+
+    def out() -> pa.RecordBatch:
+        pairs = [(x, t) for x in list(sets.up) if (t := sets.top(x)) != x]
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.string()) for k in (0, 1)], ["src", "tgt"])
+
+    for b in batches:
+        sets.join(b.column(0).to_pylist(), b.column(1).to_pylist())
+        held += b.num_rows
+        if held >= 300_000:
+            yield out()
+            sets, held = _Sets(), 0
+    if held:
+        yield out()
+
+
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sets = _Sets()
+    for b in batches:
+        sets.join(b.column(0).to_pylist(), b.column(1).to_pylist())
+    nodes = list(sets.up)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.string()), pa.array([sets.top(x) for x in nodes], pa.string())], ["node", "component"])
+
+
 def weak_components(edges: DataFrame) -> DataFrame:
-    """(node, component): the smallest node id that can be reached ignoring direction.
+    """(node, component): the smallest node id that can be reached ignoring direction, for nodes with an edge to another.
 
-    Each round takes the smallest label among neighbours, then the label's label, so long chains shrink by halves. A hot
-    node's neighbours are pre-aggregated before the shuffle.
+    Every task first links what its edges connect, which leaves no more links than nodes. Up to LOCAL_EDGES of these are
+    joined up in one task; more in rounds: each takes the smallest label among neighbours, then the label's label, so
+    long chains shrink by halves. A hot node's neighbours are pre-aggregated before the shuffle.
     """
-    both = cut(edges.select("src", "tgt").union(edges.select("tgt", "src")).where("src <> tgt").distinct())
+    links = cut(edges.select("src", "tgt").where("src <> tgt").mapInArrow(_forests, "src string, tgt string").distinct())
+    n = links.count()
+    if n <= LOCAL_EDGES:
+        return cut(links.repartition(1).mapInArrow(_labelled, "node string, component string"))
+    both = cut(links.union(links.select("tgt", "src")).distinct())
     labels = cut(both.groupBy(F.col("src").alias("node")).agg(F.least(F.min("tgt"), F.first("src")).alias("component")))
     n = both.count()
     while True:

@@ -109,7 +109,31 @@ lnk AS (SELECT raw.code, look.parent FROM raw LEFT JOIN look ON raw.pk = look.k)
 tree AS (SELECT code, code AS root_code, 0 AS depth, code AS path FROM lnk WHERE parent IS NULL
   UNION ALL SELECT l.code, t.root_code, t.depth + 1, t.path || '>' || l.code FROM lnk l JOIN tree t ON l.parent = t.code),
 """
+#: A value with the delimiter after it: quoted, or up to the first delimiter.
+_VALUE = r"""[  ]*(?:"(?:[^"]|"")*"|“(?:[^”]|””)*”|„(?:[^“]|““)*“|«(?:[^»]|»»)*»)[  ]*(?:[|,;\n\t\r]|[  ]/[  ])|[^|,;\n\t\r]*?(?:[|,;\n\t\r]|[  ]/[  ])"""
+_QUOTED = r"""[  ]*(?:"(?:[^"]|"")*"|“(?:[^”]|””)*”|„(?:[^“]|““)*“|«(?:[^»]|»»)*»)[  ]*"""
+#: CTEs for the values packed in field ``t`` of {0} (k, t), as {0}_v (k, pos, val).
+_SPLIT = r"""{0}_m AS (SELECT k, t, list_transform(regexp_extract_all(t || '|', '{1}'), lambda x: regexp_replace(x, '(?:[|,;\n\t\r]|[  ]/[  ])$', '')) AS l FROM {0} WHERE k IS NOT NULL AND t <> ''),
+{0}_l AS (SELECT k, list_filter(list_transform(l, lambda x: trim(CASE WHEN regexp_full_match(x, '{2}') THEN replace(replace(replace(replace(regexp_replace(x, '^[  ]*.|.[  ]*$', '', 'g'), '""', '"'), '””', '”'), '““', '“'), '»»', '»') ELSE x END, ' ' || chr(9) || chr(10) || chr(13) || chr(160))), lambda x: x <> '') AS l FROM {0}_m),
+{0}_v AS (SELECT k, unnest(range(1, len(l) + 1))::INT AS pos, unnest(l) AS val FROM {0}_l)"""
+
+
+def split_sql(name: str) -> str:
+    return _SPLIT.format(name, _VALUE, _QUOTED)
+
+
+_REV = r"""pages AS (SELECT DISTINCT id, revision FROM json_page WHERE revision IS NOT NULL AND revision <> ''),
+r AS (SELECT id AS page_id, unnest(CASE WHEN json_type(revision) = 'ARRAY' THEN CAST(revision AS JSON[]) ELSE [CAST(revision AS JSON)] END) AS v FROM pages),
+s0 AS (SELECT page_id, CAST(v->>'$.id' AS BIGINT) AS rev_id, CAST(v->'$.sections' AS JSON[]) AS l FROM r WHERE json_type(v->'$.sections') = 'ARRAY'),
+sc AS (SELECT page_id, rev_id, CAST(i AS INT) AS sec_pos, l[i] AS s FROM (SELECT page_id, rev_id, l, unnest(range(1, CAST(len(l) + 1 AS BIGINT))) AS i FROM s0)),
+t0 AS (SELECT page_id, rev_id, sec_pos, CAST(s->'$.templates' AS JSON[]) AS l FROM sc WHERE json_type(s->'$.templates') = 'ARRAY')"""
 ORACLE = {
+    "p5_found": "WITH e AS (SELECT DISTINCT entry_id::VARCHAR AS k, templates AS t FROM entries), o AS (SELECT DISTINCT code AS k, other_names AS t FROM language_data), " + split_sql("e") + ", " + split_sql("o") + " SELECT 'entries.templates' AS source_field, k AS rec_key, pos, val FROM e_v UNION ALL SELECT 'language_data.other_names', k, pos, val FROM o_v",
+    "p7_pages": "SELECT id AS page_id, title, ns, bool_or(coalesce(partial, false)) AS partial FROM json_page GROUP BY id, title, ns",
+    "p7_sections": f"WITH {_REV} SELECT DISTINCT rev_id, sec_pos, array_to_string(CAST(s->'$.path' AS VARCHAR[]), ' > ') AS path, coalesce(json_type(s->'$.note'), 'NULL') <> 'NULL' AS has_note FROM sc",
+    "p7_contributors": f"WITH {_REV}, c AS (SELECT DISTINCT page_id, CAST(v->>'$.id' AS BIGINT) AS rev_id, v->>'$.contributor.id' AS id, v->>'$.contributor.username' AS username, v->>'$.contributor.ip' AS ip FROM r WHERE json_type(v->'$.contributor') = 'OBJECT') SELECT * FROM c WHERE coalesce(id, username, ip) IS NOT NULL",
+    "p7_templates": f"WITH {_REV} SELECT DISTINCT page_id, rev_id, sec_pos, CAST(i AS INT) AS tpl_pos, l[i]->>'$.name' AS name, try_cast(l[i]->>'$.count' AS BIGINT) AS count FROM (SELECT page_id, rev_id, sec_pos, l, unnest(range(1, CAST(len(l) + 1 AS BIGINT))) AS i FROM t0)",
+    "p7_texts": f"WITH {_REV} SELECT DISTINCT page_id, CAST(v->>'$.id' AS BIGINT) AS rev_id, v->>'$.text' AS text FROM r WHERE v->>'$.text' IS NOT NULL",
     "p2_found": _FAM + """
 bad AS (SELECT code, parent FROM lnk WHERE code NOT IN (SELECT code FROM tree)),
 reach AS (SELECT code AS a, parent AS b FROM bad UNION SELECT r.a, bad.parent FROM reach r JOIN bad ON r.b = bad.code),

@@ -177,8 +177,24 @@ def g12_intra_component_prune(spark, d):
     return G.prune_related(related, G.weak_components(e.where(F.col("type").isin(*O.DIRECTED)))).select("src", "tgt")
 
 
-@query()
+_SWAPPED = "x AS (SELECT *, string_split(src, '#')[-2] AS ls, string_split(tgt, '#')[-2] AS lt FROM e), y AS (SELECT x.*, type IN ('historical','inheritance','derivation','root') AND EXISTS (SELECT 1 FROM lc WHERE old = lt AND young = ls) AS t FROM x)"
+_CONNECTED = "{0}_bo AS (SELECT src, tgt FROM {0} UNION SELECT tgt, src FROM {0}), {0}_wc AS (SELECT src AS a, tgt AS b FROM {0}_bo UNION SELECT w.a, o.tgt FROM {0}_wc w JOIN {0}_bo o ON w.b = o.src)"
+
+
+@query(f"""WITH RECURSIVE {_E}, {_LANGTREE}, {_SWAPPED}, {_UP},
+nl AS (SELECT CASE WHEN t THEN tgt ELSE src END AS src, CASE WHEN t THEN src ELSE tgt END AS tgt, type, text, uncertain, ord FROM y WHERE src <> tgt),
+m0 AS (SELECT 'o' AS k, * FROM nl WHERE type IN {_DIR} UNION ALL SELECT CASE WHEN type = 'related' THEN 'r' ELSE 's' END, least(src, tgt), greatest(src, tgt), type, text, uncertain, ord FROM nl WHERE type = 'related' OR type IN {_SIB}),
+st AS (SELECT DISTINCT k, src, tgt, type FROM m0 a WHERE NOT EXISTS (SELECT 1 FROM m0 b JOIN up ON up.type = b.type WHERE b.k = a.k AND b.src = a.src AND b.tgt = a.tgt AND up.ancestor = a.type)),
+g AS (SELECT st.k, st.src, st.tgt, st.type, string_agg(m.text, '; ' ORDER BY m.ord, m.text) AS text, bool_or(m.uncertain) AS uncertain, min(m.ord) AS ord FROM st JOIN m0 m ON m.k = st.k AND m.src = st.src AND m.tgt = st.tgt AND (m.type = st.type OR (st.type, m.type) IN (SELECT (type, ancestor) FROM up)) GROUP BY ALL),
+fi AS (SELECT k, src, tgt, type FROM g WHERE k <> 'r' QUALIFY row_number() OVER (PARTITION BY least(src, tgt), greatest(src, tgt) ORDER BY k, ord, type, src) = 1),
+cl AS (SELECT g.k, g.src, g.tgt, g.type, nullif(concat_ws('; ', g.text, r.text), '') AS text, g.uncertain OR coalesce(r.uncertain, false) AS uncertain, g.ord FROM g LEFT JOIN fi USING (k, src, tgt, type) LEFT JOIN (SELECT src AS a, tgt AS b, text, uncertain FROM g WHERE k = 'r') r ON fi.k IS NOT NULL AND r.a = least(g.src, g.tgt) AND r.b = greatest(g.src, g.tgt) AND (g.k, g.src, g.tgt, g.type) IN (SELECT (k, src, tgt, type) FROM fi) WHERE g.k <> 'r'),
+rl AS (SELECT * FROM g WHERE k = 'r' AND (src, tgt) NOT IN (SELECT (least(src, tgt), greatest(src, tgt)) FROM fi)),
+rk AS (SELECT *, row_number() OVER (PARTITION BY least(src, tgt), greatest(src, tgt) ORDER BY ord, type, src) AS nth FROM cl WHERE k = 'o'),
+gm AS (SELECT src, tgt FROM rk WHERE nth = 1), {_reduced('gm')}, sb AS (SELECT src, tgt FROM cl WHERE k = 's'), {_CONNECTED.format('gm_kept')}, {_CONNECTED.format('sb')}
+SELECT src, tgt, type, text, uncertain, CASE WHEN (src, tgt) IN (SELECT (src, tgt) FROM gm_kept) AND nth = 1 THEN 'origin' ELSE 'aside' END AS store FROM rk WHERE nth > 1 OR (src, tgt) IN (SELECT (src, tgt) FROM gm_kept) OR (src, tgt) NOT IN (SELECT (src, tgt) FROM gm_dg)
+UNION ALL SELECT src, tgt, type, text, uncertain, 'sibling' FROM cl WHERE k = 's' UNION ALL SELECT src, tgt, type, text, uncertain, 'related' FROM rl WHERE (src, tgt) NOT IN (SELECT (a, b) FROM gm_kept_wc) AND (src, tgt) NOT IN (SELECT (a, b) FROM sb_wc)""")
 def g13_full_reduction(spark, d):
+    """The whole graph reduced: the flagship."""
     return G.reduce_graph(edges(spark, d), older_languages(spark, d)).select("src", "tgt", "type", "text", "uncertain", "store")
 
 

@@ -160,7 +160,10 @@ def t18_lexemes(spark, d):
     return P.lexemes(texts(spark, d), F.col("id"), F.col("title"), F.col("text"))
 
 
-@query()
+_IRI = "'<urn:lexweave:' || replace(replace(url_encode(regexp_replace({0}, '\\s+', '_', 'g')), '%2A', '*'), '~', '%7E') || '>'"
+
+
+@query(f"WITH {graph_queries._E}, l AS (SELECT *, '<urn:lexweave:link/' || sha1(concat_ws('|', src, tgt, type)) || '>' AS link FROM e) SELECT DISTINCT unnest([link || ' <urn:lexweave:source> ' || {_IRI.format('src')} || ' .', link || ' <urn:lexweave:target> ' || {_IRI.format('tgt')} || ' .', link || ' <urn:lexweave:type> \"' || type || '\" .']) AS value FROM l")
 def s18_triples(spark: SparkSession, d: str) -> DataFrame:
     return graph_files.triples(graph_queries.edges(spark, d)).distinct()
 
