@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexweave.llm import distinct, frequency, leakage, lookalike, markup, packing, readability
 from lexweave.operators.packed import split_packed
 from lexweave.operators.shred import assemble, shred
+from lexweave.plans.core_queries import split_sql
 from lexweave.plans.runtime import clean_key, cut, table
 
 _COMBOS = {"major": (1, "any"), "minor": (2, "any"), "all": (3, "any"), "both": (3, "all")}
@@ -156,7 +157,14 @@ k AS (SELECT * FROM r WHERE who IS NOT NULL AND who NOT IN ('', '-')),
 g AS (SELECT edit_day, CASE WHEN m THEN 'minor' ELSE 'major' END AS grp, who, id FROM k UNION ALL SELECT edit_day, 'all', who, id FROM k),
 c AS (SELECT edit_day, grp, count(DISTINCT who) AS n_contributors, count(DISTINCT id) AS n_revisions FROM g GROUP BY ALL)
 """
+_P6 = "WITH e AS (SELECT DISTINCT entry_id AS k, templates AS t FROM entries WHERE entry_id IS NOT NULL), " + split_sql("e").replace("e_m AS (SELECT k, t,", "e_m AS (SELECT row_number() OVER () * 10000000000 + k AS k, t,") + r""",
+w AS (SELECT k // 10000000000 AS txt, k % 10000000000 AS k, trim(regexp_replace(val, '=\s*\d+\s*$', '')) AS val, coalesce(try_cast(nullif(regexp_extract(val, '=\s*(\d+)\s*$', 1), '') AS BIGINT), 1) AS n FROM e_v),
+o AS (SELECT k, val, max(n) AS n FROM (SELECT txt, k, val, sum(n) AS n FROM w WHERE val <> '' GROUP BY ALL) GROUP BY ALL), a AS (SELECT count(DISTINCT entry_id) AS n FROM entries),
+f AS (SELECT 'entries.templates' AS source_field, val, sum(n)::BIGINT AS n_occurrences, count(*) AS n_records FROM o GROUP BY val UNION ALL SELECT 'entries.language', language, count(DISTINCT entry_id), count(DISTINCT entry_id) FROM entries WHERE language <> '' AND entry_id IS NOT NULL GROUP BY language),
+b AS (SELECT f.*, CASE WHEN n_records <= 2 THEN 'rare' WHEN n_records > 0.1 * (SELECT n FROM a) THEN 'common' END AS band FROM f) """
 ORACLE = {
+    "p6_found": _P6 + "SELECT source_field, val, band FROM b WHERE band IS NOT NULL",
+    "p6_counts": _P6 + "SELECT * FROM b",
     "p1_found": _P1 + "SELECT edit_day, grp FROM c WHERE n_revisions > 0 AND 2 * n_contributors >= n_revisions",
     "p1_counts": _P1 + "SELECT edit_day, grp, n_contributors, n_revisions FROM c WHERE n_revisions > 0",
     "p1_both": _P1 + "SELECT edit_day, CAST(count(*) FILTER (n = 2) AS BIGINT) AS n_both FROM (SELECT edit_day, who, count(DISTINCT m) AS n FROM k GROUP BY ALL) GROUP BY edit_day",
