@@ -476,18 +476,80 @@ def paths(edges: DataFrame, sources: DataFrame, depth: int, direction: str = "ou
     return all_
 
 
+def _in_one(run: Callable[[np.ndarray, np.ndarray, pa.Array], pa.Table]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` on all edges (src, tgt) of a task, as numbers of its nodes in the order of their ids, and these ids."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            both = pa.concat_arrays([b.column(k) for k in (0, 1) for b in held])
+            ids = both.unique().sort()
+            at = pa.compute.index_in(both, ids).to_numpy(zero_copy_only=False).astype(np.int64)
+            yield from run(at[: len(at) // 2], at[len(at) // 2 :], ids).to_batches()
+
+    return whole
+
+
+def _ranked(tolerance: float, damping: float) -> Callable:
+    def run(a: np.ndarray, b: np.ndarray, ids: pa.Array) -> pa.Table:
+        n = len(ids)
+        deg, rank = np.bincount(a, minlength=n), np.full(n, 1.0 / n)
+        while True:
+            new = (1 - damping) / n + damping * np.bincount(b, rank[a] / deg[a], n)
+            moved, rank = np.abs(new - rank).sum(), new
+            if moved < tolerance * n:
+                return pa.table({"node": ids, "rank": rank})
+
+    return run
+
+
+def _merged_by_gain(resolution: float) -> Callable:
+    def run(a: np.ndarray, b: np.ndarray, ids: pa.Array) -> pa.Table:
+        n, m = len(ids), len(a) / 2
+        w, deg, of = np.ones(len(a), np.int64), np.bincount(a, minlength=n), np.arange(n)
+        while True:
+            gain = w - resolution * (deg[a] * deg[b]) / (2 * m)
+            up = gain > 0
+            if not up.any():
+                low = np.full(n, n)
+                np.minimum.at(low, of, np.arange(n))
+                return pa.table({"node": ids, "community": ids.take(pa.array(low[of]))})
+            x, y, g = a[up], b[up], gain[up]
+            order = np.lexsort((y, -g, x))
+            first = order[np.r_[True, x[order][1:] != x[order][:-1]]]
+            best = np.full(n, -1)
+            best[x[first]] = y[first]
+            who = np.flatnonzero(best >= 0)
+            mutual = best[best[who]] == who
+            head = np.zeros(n, bool)
+            head[who[mutual & (who < best[who])]] = True
+            to = np.arange(n)
+            moves = who[(mutual & (who > best[who])) | (~mutual & head[best[who]])]
+            to[moves] = best[moves]
+            of, deg = to[of], np.bincount(to, deg, n).astype(np.int64)
+            pair = to[a] * n + to[b]
+            pair, back = np.unique(pair[to[a] != to[b]], return_inverse=True)
+            w = np.bincount(back, w[to[a] != to[b]], len(pair)).astype(np.int64)
+            a, b = pair // n, pair % n
+
+    return run
+
+
 def pagerank(edges: DataFrame, tolerance: float = 1e-6, damping: float = 0.85) -> DataFrame:
     """(node, rank) on the undirected simple graph; the ranks add up to 1.
 
-    Rounds go on until all ranks together change by less than ``tolerance`` times the number of nodes.
+    Rounds go on until all ranks together change by less than ``tolerance`` times the number of nodes. Up to LOCAL_EDGES
+    links are one task's work.
     """
     both = cut(edges.select("src", "tgt").union(edges.select("tgt", "src")).where("src <> tgt").distinct())
     deg = both.groupBy("src").agg(F.count("*").alias("deg"))
     n = deg.count()
     if not n:
         return both.select(F.col("src").alias("node"), F.lit(0.0).alias("rank"))
-    links = cut(skew_join(both, deg, "src", both.count(), "inner"))
-    many = links.count()
+    many = both.count()
+    if many <= LOCAL_EDGES:
+        return cut(both.repartition(1).mapInArrow(_in_one(_ranked(tolerance, damping)), "node string, rank double"))
+    links = cut(skew_join(both, deg, "src", many, "inner"))
     ranks = cut(deg.select(F.col("src").alias("node"), F.lit(1.0 / n).alias("rank")))
     while True:
         got = skew_join(links, ranks.withColumnRenamed("node", "src"), "src", many, "inner").groupBy(F.col("tgt").alias("node")).agg(F.sum(F.col("rank") / F.col("deg")).alias("in"))
@@ -511,6 +573,9 @@ def communities(edges: DataFrame, resolution: float = 1.0) -> DataFrame:
     """
     both = cut(edges.select(F.least("src", "tgt").alias("a"), F.greatest("src", "tgt").alias("b")).where("a <> b").distinct())
     m = both.count()
+    if m <= LOCAL_EDGES:
+        ways = both.select("a", "b").union(both.select("b", "a"))
+        return cut(ways.repartition(1).mapInArrow(_in_one(_merged_by_gain(resolution)), "node string, community string"))
     labels = cut(both.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("community", F.col("node")))
     links = cut(both.select("a", "b", F.lit(1).cast("bigint").alias("w")).union(both.select("b", "a", F.lit(1).cast("bigint"))))
     deg = cut(links.groupBy("a").agg(F.sum("w").alias("d")))

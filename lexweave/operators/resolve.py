@@ -3,8 +3,9 @@ and gloss."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,24 +85,34 @@ def choose_homonyms(mentions: DataFrame, lexemes: DataFrame) -> DataFrame:
     return a.select("mention", node.alias("node_id"), how.alias("how"))
 
 
+_FACTS = ("born", "died", "nat", "wplink")
 _ENTITY = "name string, born string, died string, nat string, wplink string, occ string, entity int"
 
 
-def _merged(pdf: pd.DataFrame) -> pd.DataFrame:
-    facts = ("born", "died", "nat", "wplink")
-    known: list[dict] = []
-    out = []
-    for r in pdf.sort_values(["ord", *facts], na_position="first").itertuples(index=False):
-        mine = {f: None if pd.isna(getattr(r, f)) else getattr(r, f) for f in facts}
-        at = next((k for k, e in enumerate(known) if all(not mine[f] or not e[f] or mine[f] == e[f] for f in facts)), None)
-        if at is None:
-            at = len(known)
-            known.append(dict.fromkeys(facts) | {"occ": []})
-        e = known[at]
-        e.update({f: e[f] or mine[f] for f in facts})
-        e["occ"] += [o for o in r.occ if o not in e["occ"]]
-        out.append(at)
-    return pd.DataFrame([{"name": pdf["name"].iloc[0], **{f: e[f] for f in facts}, "occ": "; ".join(e["occ"]) or None, "entity": k} for k, e in enumerate(known)])
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entities of each name, whose mentions come one after the other in order."""
+    name, known = None, []
+
+    def done() -> list[dict]:
+        return [{"name": name, **{f: e[f] for f in _FACTS}, "occ": "; ".join(e["occ"]) or None, "entity": k} for k, e in enumerate(known)]
+
+    schema = pa.schema([("name", pa.string()), *((f, pa.string()) for f in _FACTS), ("occ", pa.string()), ("entity", pa.int32())])
+    for b in batches:
+        out = []
+        for r in b.to_pylist():
+            if r["name"] != name:
+                out += done()
+                name, known = r["name"], []
+            e = next((e for e in known if all(not r[f] or not e[f] or r[f] == e[f] for f in _FACTS)), None)
+            if e is None:
+                e = dict.fromkeys(_FACTS) | {"occ": []}
+                known.append(e)
+            e.update({f: e[f] or r[f] for f in _FACTS})
+            e["occ"] += [o for o in r["occ"] if o not in e["occ"]]
+        if out:
+            yield pa.RecordBatch.from_pylist(out, schema)
+    if known:
+        yield pa.RecordBatch.from_pylist(done(), schema)
 
 
 def merge_entities(mentions: DataFrame) -> DataFrame:
@@ -116,4 +127,5 @@ def merge_entities(mentions: DataFrame) -> DataFrame:
     m = mentions.select("ord", *(say(c) for c in ("name", "born", "died", "nat", "wplink", "occ"))).where("name is not null")
     m = m.groupBy("name", "born", "died", "nat", "wplink", "occ").agg(F.min("ord").alias("ord"))
     m = m.groupBy("name", "born", "died", "nat", "wplink").agg(F.min("ord").alias("ord"), F.transform(F.array_sort(F.collect_list(F.when(F.col("occ").isNotNull(), F.struct("ord", "occ")))), lambda x: x["occ"]).alias("occ"))
-    return m.groupBy("name").applyInPandas(_merged, _ENTITY)
+    order = ["name", "ord", *_FACTS]
+    return m.repartition("name").sortWithinPartitions(*order).mapInArrow(_merged, _ENTITY)

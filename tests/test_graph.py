@@ -107,6 +107,14 @@ def test_components_and_search(graph, rows):
     assert rows(G.bfs(g, g.select(g.src.alias("node")).where("node like 'amber%'"), 3)) == [(n("amber"), n("amber"), 0), (n("amber"), n("birch"), 1)]
 
 
+def test_communities_both_ways(spark, rows, monkeypatch):
+    rnd = random.Random(5)
+    e = spark.createDataFrame([(f"x{a:02d}", f"x{b:02d}") for a, b in {tuple(rnd.sample(range(30), 2)) for _ in range(60)}], "src string, tgt string")
+    want = rows(G.communities(e)), [(n, round(r, 9)) for n, r in rows(G.pagerank(e))]
+    monkeypatch.setattr(G, "LOCAL_EDGES", 0)
+    assert (rows(G.communities(e)), [(n, round(r, 9)) for n, r in rows(G.pagerank(e))]) == want
+
+
 def test_rank_and_communities(spark, rows):
     clique = lambda x: [(f"{x}{i}", f"{x}{j}") for i in range(5) for j in range(i)]
     e = spark.createDataFrame([*clique("a"), *clique("b"), ("a0", "b0")], "src string, tgt string")
