@@ -26,6 +26,8 @@ def partial(df: DataFrame, identifier: Column, keys: dict[str, Column], groups:
     their own. Repeated rows change nothing. One hot identifier or key is combined before the shuffle and spread over
     the buckets after it. Only the given expressions are read.
     """
+    if len(groups) > 63:
+        raise ValueError("no more than 63 groups")
     bits = [F.when(cond, F.lit(1 << i)).otherwise(F.lit(0)) for i, cond in enumerate(groups.values())]
     mask = reduce(lambda a, b: a.bitwiseOR(b), bits)
     rows = df.select(*(c.alias(k) for k, c in keys.items()), identifier.cast("string").alias("ident"), mask.alias("mask")).where("ident is not null and mask <> 0")

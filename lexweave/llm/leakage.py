@@ -43,7 +43,7 @@ BLOCK_CHARS = 4_000_000
 #: Bits of the map that tells which windows some item may have.
 BITS = 1 << 24
 #: Units of measure.
-UNITS = "mm cm m km in ft yd mi mg g kg t lb oz ml l s sec min h hr hrs day days week weeks month months year years century centuries percent miles metres meters feet inches pounds dollars euros".split()
+UNITS = frozenset("mm cm m km in ft yd mi mg g kg t lb oz ml l s sec min h hr hrs day days week weeks month months year years century centuries percent miles metres meters feet inches pounds dollars euros".split())
 
 _TOKEN = re.compile(r"[^\W_]+|[.!?]+")
 
@@ -79,22 +79,22 @@ def fold(text: str) -> str:
 
 
 def _number(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word.lower()) >> 5
+    return xxhash.xxh3_64_intdigest(word.lower()) >> 6
 
 
 class _Codes(dict):
-    """Token to the number of its lower-case form, with 1 added for a capital, 2 for a number, 3 for the end of a sentence."""
+    """Token to the number of its lower-case form, three bits up; below, 1 is a capital, 2 a number, 3 the end of a sentence,
+    and 4 is added for a unit."""
 
     def __missing__(self, w: str) -> int:
         if len(self) > 300_000:
             self.clear()
         flag = 3 if w[0] in ".!?" else 2 if w.isdigit() else 1 if w[0].isupper() else 0
-        self[w] = code = _number(w) << 2 | flag
+        self[w] = code = _number(w) << 3 | (w.lower() in UNITS) << 2 | flag
         return code
 
 
 _CODES = _Codes()
-_UNIT_NUMBERS = np.array(sorted(_number(u) for u in UNITS))
 #: Template numbers below this are placeholders: 1 number, 2 name, 3 unit.
 _SLOTS = 16
 
@@ -102,13 +102,13 @@ _SLOTS = 16
 def read(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(word numbers, template numbers) of a text; items and documents are read alike."""
     code = np.array([_CODES[w] for w in _TOKEN.findall(fold(text))], np.int64)
-    flag, values = code & 3, code >> 2
+    flag, values = code & 3, code >> 3
     mark = flag == 3
     inside = np.r_[False, ~mark[:-1]]
     templates = np.where(flag == 2, 1, np.where((flag == 1) & inside, 2, values + _SLOTS))
-    values, templates = values[~mark], templates[~mark]
-    after = np.flatnonzero(templates[:-1] == 1) + 1
-    templates[after[np.isin(values[after], _UNIT_NUMBERS)]] = 3
+    keep = ~mark
+    values, templates, unit = values[keep], templates[keep], code[keep] & 4 > 0
+    templates[1:][(templates[:-1] == 1) & unit[1:]] = 3
     return values, templates
 
 
@@ -152,6 +152,8 @@ class Items:
         self.hash, self.first = np.unique(post[0], return_index=True)
         self.first = np.append(self.first, post.shape[1])
         self.item, self.at = post[1], post[2]
+        self.may = np.zeros(1 << 20, bool)
+        self.may[self.hash & 0xFFFFF] = True
 
 
 def _run(values, templates, v, tp, low: int, high: int):
@@ -208,7 +210,9 @@ def matches(items: Items, text: str, least: float = 1 / 3, least_template: float
     if not items.sizes:
         return []
     found = [windows(values, templates, size) for size in items.sizes]
-    h, places = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+    h, places = found[0] if len(found) == 1 else (np.concatenate([f[k] for f in found]) for k in (0, 1))
+    may = items.may[h & 0xFFFFF]
+    h, places = h[may], places[may]
     at = np.searchsorted(items.hash, h)
     at[at == len(items.hash)] = 0
     hit = np.flatnonzero(items.hash[at] == h)

@@ -24,9 +24,9 @@ def _edit_sets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _wide(counts: DataFrame) -> DataFrame:
-    """One row per day and group, with both kinds of count."""
-    long = counts.select("edit_day", "kind", F.explode(F.create_map(*(x for k in ("major", "minor", "all") for x in (F.lit(k), F.col(k))))).alias("grp", "n"))
-    return long.groupBy("edit_day", "grp").agg(F.coalesce(F.sum(F.when(F.col("kind") == "c", F.col("n"))), F.lit(0)).alias("n_contributors"), F.coalesce(F.sum(F.when(F.col("kind") == "r", F.col("n"))), F.lit(0)).alias("n_revisions"))
+    """One row per day and group, with both kinds of count and the relative standard error, 0 where all buckets are counted."""
+    long = counts.select("edit_day", "kind", "rel_error", F.explode(F.create_map(*(x for k in ("major", "minor", "all") for x in (F.lit(k), F.col(k))))).alias("grp", "n"))
+    return long.groupBy("edit_day", "grp").agg(F.coalesce(F.sum(F.when(F.col("kind") == "c", F.col("n"))), F.lit(0)).alias("n_contributors"), F.coalesce(F.sum(F.when(F.col("kind") == "r", F.col("n"))), F.lit(0)).alias("n_revisions"), F.max("rel_error").alias("rel_error"))
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -166,6 +166,6 @@ ORACLE = {
     "p6_found": _P6 + "SELECT source_field, val, band FROM b WHERE band IS NOT NULL",
     "p6_counts": _P6 + "SELECT * FROM b",
     "p1_found": _P1 + "SELECT edit_day, grp FROM c WHERE n_revisions > 0 AND 2 * n_contributors >= n_revisions",
-    "p1_counts": _P1 + "SELECT edit_day, grp, n_contributors, n_revisions FROM c WHERE n_revisions > 0",
+    "p1_counts": _P1 + "SELECT edit_day, grp, n_contributors, n_revisions, 0.0::DOUBLE AS rel_error FROM c WHERE n_revisions > 0",
     "p1_both": _P1 + "SELECT edit_day, CAST(count(*) FILTER (n = 2) AS BIGINT) AS n_both FROM (SELECT edit_day, who, count(DISTINCT m) AS n FROM k GROUP BY ALL) GROUP BY edit_day",
 }
