@@ -9,7 +9,7 @@ from lexweave.operators import graph as G
 from lexweave.operators import hierarchy as H
 from lexweave.operators import ontology as O
 from lexweave.plans.core_queries import _FAM
-from lexweave.plans.runtime import cut, table
+from lexweave.plans.runtime import cut, salted_join, table
 
 Q: dict = {}
 ORACLE: dict[str, str] = {}
@@ -110,9 +110,11 @@ def g4_related_absorb(spark, d):
 
 @query(f"WITH {_E} SELECT least(src, tgt) AS a, greatest(src, tgt) AS b, count(*) AS n, bool_or(uncertain) AS uncertain, string_agg(text, '; ' ORDER BY ord) AS text FROM e WHERE src <> tgt GROUP BY 1, 2")
 def g5_attribute_merge(spark, d):
-    e = G.no_self_loops(edges(spark, d)).select(F.least("src", "tgt").alias("a"), F.greatest("src", "tgt").alias("b"), "text", "uncertain", "ord")
-    texts = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("ord", "text")))), lambda x: x["text"]), "; ")
-    return e.groupBy("a", "b").agg(F.count("*").alias("n"), F.bool_or("uncertain").alias("uncertain"), F.nullif(texts, F.lit("")).alias("text"))
+    """Per pair of nodes the merged text and uncertainty of all its edges, as if they were of one type."""
+    e = cut(G.undirected(G.no_self_loops(edges(spark, d))))
+    n = e.groupBy(F.col("src").alias("a"), F.col("tgt").alias("b")).agg(F.count("*").alias("n"))
+    m = G.merge_types(e.withColumn("type", F.lit("related"))).select(F.col("src").alias("a"), F.col("tgt").alias("b"), "uncertain", "text")
+    return n.join(m, ["a", "b"])
 
 
 _LANGTREE = """la AS (SELECT code, min(canonical_name) AS name, min(nullif(parent, '')) AS parent FROM language_data GROUP BY code), lp AS (SELECT p.code AS old, l.code AS young FROM la l JOIN la p ON l.parent = p.name WHERE l.code <> p.code),
@@ -307,26 +309,28 @@ round(sum(CASE WHEN gone THEN k ELSE k - 1 END) / sum(k), 6) AS redundancy FROM
 def a15_event_counts(spark, d):
     """What merging did to the directed edges, and their redundancy."""
     e = edges(spark, d)
-    p = G.no_self_loops(e).where(F.col("type").isin(*O.DIRECTED)).groupBy("src", "tgt", "type").agg(F.count("*").alias("k"))
-    types = p.groupBy("src", "tgt").agg(F.collect_set("type").alias("types"))
-    lower = F.create_map(*(x for t in O.DIRECTED for x in (F.lit(t), F.array(*(F.lit(b) for b in O.below(t) if b != t)).cast("array<string>"))))
-    q = p.join(types, ["src", "tgt"]).withColumn("gone", F.arrays_overlap("types", lower[F.col("type")]))
+    directed = cut(G.no_self_loops(e).where(F.col("type").isin(*O.DIRECTED)))
+    p = directed.groupBy("src", "tgt", "type").agg(F.count("*").alias("k"))
+    stay = G.merge_types(directed).select("src", "tgt", "type", F.lit(True).alias("stay"))
+    q = p.join(stay, ["src", "tgt", "type"], "left")
     loops = e.where("src = tgt").agg(F.count("*").alias("selfloop"))
-    s = q.agg(F.sum(F.when(F.col("gone"), 0).otherwise(F.col("k") - 1)).alias("merge_equal"), F.sum(F.when(F.col("gone"), F.col("k")).otherwise(0)).alias("merge_more_specific"), F.count_if(~F.col("gone")).alias("n_edges"), F.sum("k").alias("all"))
+    s = q.agg(F.sum(F.when(F.col("stay"), F.col("k") - 1).otherwise(0)).alias("merge_equal"), F.sum(F.when(F.col("stay"), 0).otherwise(F.col("k"))).alias("merge_more_specific"), F.count_if("stay").alias("n_edges"), F.sum("k").alias("all"))
     return loops.join(F.broadcast(s)).select("selfloop", "merge_equal", "merge_more_specific", "n_edges", F.round((F.col("merge_equal") + F.col("merge_more_specific")) / F.col("all"), 6).alias("redundancy"))
 
 
 @query(f"""WITH {_E}, de AS (SELECT node, count(*) AS k FROM (SELECT src AS node FROM e UNION ALL SELECT tgt FROM e) GROUP BY node HAVING count(*) >= 5), bo AS (SELECT src, tgt FROM e UNION SELECT tgt, src FROM e), h AS (SELECT de.node, b1.tgt AS m FROM de JOIN bo b1 ON de.node = b1.src UNION SELECT de.node, b2.tgt FROM de JOIN bo b1 ON de.node = b1.src JOIN bo b2 ON b1.tgt = b2.src)
 SELECT node, count(DISTINCT string_split(m, '#')[-2]) AS n_languages FROM h GROUP BY node HAVING count(DISTINCT string_split(m, '#')[-2]) > 3""")
 def a29_radius2_groups(spark, d):
-    """Languages within two links of the nodes of degree 5 and more."""
+    """Languages within two links of the nodes of degree 5 and more: the languages next to each node first, then those of
+    its neighbours, so a hub counts as the languages around it and not as its links."""
     e = edges(spark, d)
     both = cut(e.select("src", "tgt").union(e.select("tgt", "src")).distinct())
     hub = e.select(F.explode(F.array("src", "tgt")).alias("node")).groupBy("node").count().where("count >= 5").select("node")
-    one = cut(hub.join(both.withColumnRenamed("src", "node"), "node").select("node", F.col("tgt").alias("m")))
-    two = one.join(both.withColumnRenamed("src", "m"), "m").select("node", F.col("tgt").alias("m"))
-    lang = F.element_at(F.split("m", "#"), -2)
-    return one.union(two).select("node", lang.alias("l")).distinct().groupBy("node").agg(F.count("*").alias("n_languages")).where("n_languages > 3")
+    one = cut(both.withColumnRenamed("src", "node").join(hub, "node", "left_semi").select("node", F.col("tgt").alias("m")))
+    lang = lambda c: F.element_at(F.split(c, "#"), -2).alias("l")
+    around = both.select(F.col("src").alias("m"), lang("tgt")).distinct()
+    two = salted_join(one, around, "m", one.count()).select("node", "l")
+    return one.select("node", lang("m")).union(two).distinct().groupBy("node").agg(F.count("*").alias("n_languages")).where("n_languages > 3")
 
 
 @query(f"WITH {_E}, bo AS (SELECT DISTINCT src, tgt FROM e UNION SELECT DISTINCT tgt, src FROM e) SELECT bo.src AS node, bo.tgt AS neighbour, kind FROM bo JOIN (SELECT DISTINCT concat_ws('#', term, language, coalesce(sense_idx, 0)::VARCHAR) AS node, min(kind) AS kind FROM node GROUP BY 1) n ON bo.tgt = n.node")
