@@ -25,7 +25,7 @@ from lexweave.plans.runtime import cut, grow, release, salted_join, skew_join
 #: Steps of a loop between two cuts of the lineage.
 UNROLL = 3
 #: Edges of a weak component that one task may hold; a bin has no more than some three times as many.
-LOCAL_EDGES = 300_000
+LOCAL_EDGES = 1_000_000
 #: Targets whose reach is followed at once, a bit each, within a task.
 CHUNK = 4096
 
@@ -132,7 +132,7 @@ class _Sets:
 
 
 def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges as links to the smallest node that they connect each node to, for each LOCAL_EDGES edges of a task."""
+    """Edges as links to the smallest node that they connect each node to, for each 300 000 edges of a task."""
     sets, held = _Sets(), 0
 
     def out() -> pa.RecordBatch:
