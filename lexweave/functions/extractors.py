@@ -9,10 +9,10 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from lexweave.functions.entries import sense_index
-from lexweave.functions.prose import Token, Vocabulary, annotate, chain, tokens
+from lexweave.functions.prose import Vocabulary, chain, tokens
 from lexweave.functions.wikitext import Stated, arguments, link_target, relation, templates
 from lexweave.operators.ontology import is_a
 
@@ -58,8 +58,8 @@ def register(name: str, headings: str):
     return add
 
 
-def extractor_of(heading: str, names: tuple[str, ...] | None = None) -> Extractor | None:
-    return next((x for n, x in REGISTRY.items() if (names is None or n in names) and x.headings.fullmatch(heading)), None)
+def extractor_of(heading: str, names: tuple[str, ...] | None = None, registry: dict[str, Extractor] | None = None) -> Extractor | None:
+    return next((x for n, x in (REGISTRY if registry is None else registry).items() if (names is None or n in names) and x.headings.fullmatch(heading)), None)
 
 
 def word_of(target: dict[str, str], near: Word) -> Word:
@@ -158,7 +158,7 @@ def etymology(text: str, near: Word, vocabulary: Vocabulary, count: Counter, fir
             ready = True
 
 
-def collect(title: str, parts: list[tuple[list[str], str]], codes: dict[str, str], vocabulary: Vocabulary, names: tuple[str, ...] | None = None) -> Iterator[tuple[int, int, Edge]]:
+def collect(title: str, parts: list[tuple[list[str], str]], codes: dict[str, str], vocabulary: Vocabulary, names: tuple[str, ...] | None = None, registry: dict[str, Extractor] | None = None) -> Iterator[tuple[int, int, Edge]]:
     """(section, place, edge) of all sections of a page that some extractor reads, in order.
 
     The entry's word is the page's title in the language of the top heading (its code where ``codes`` has one), the sense
@@ -171,7 +171,7 @@ def collect(title: str, parts: list[tuple[list[str], str]], codes: dict[str, str
             lang, sense = path[0], 0
         here = sense_index(path)
         sense = sense if here is None else here
-        if (x := extractor_of(path[-1], names)) is None:
+        if (x := extractor_of(path[-1], names, registry)) is None:
             continue
         near = Word("lexeme", title, codes.get(lang, lang), sense)
         language = lambda w: Word(w.kind, w.term, codes.get(w.language, w.language), w.sense_idx, w.extra)

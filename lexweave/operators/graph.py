@@ -427,6 +427,36 @@ def reduce_graph(edges: DataFrame, older: DataFrame | None = None, transitive: b
     return tag(kept, "origin").unionByName(tag(aside, "aside")).unionByName(tag(sibling, "sibling")).unionByName(tag(related, "related"))
 
 
+def reduction_events(edges: DataFrame, older: DataFrame | None = None) -> DataFrame:
+    """(event, n): what each step of the reduction did, counted in edges.
+
+    language swap: turned round; self loop: dropped; merge equal: rows that met an edge of their type; merge more
+    specific: rows whose type gave way to one below it; incompatible: further types that stay between the same nodes in
+    one direction; absorbed: ``related`` edges merged into closer ones; shelved: edges set aside on cycles and beside
+    others; transitive: implied by paths; within components: ``related`` edges inside one.
+    """
+    turned = cut(swap_historical(edges, older)) if older is not None else edges
+    plain = no_self_loops(turned)
+    kinds = [cut(plain.where(F.col("type").isin(*O.DIRECTED))), cut(undirected(plain.where(F.col("type").isin(*O.SIBLING)))), cut(undirected(plain.where("type = 'related'")))]
+    merged = [cut(merge_types(k)) for k in kinds]
+    whole = cut(reduce_graph(edges, older))
+    n = {}
+    n["language swap"] = turned.join(edges.select("src", "tgt", "type", "ord").distinct(), ["src", "tgt", "type", "ord"], "left_anti").count() if older is not None else 0
+    n["self loop"] = turned.where("src = tgt").count()
+    rows = sum(k.count() for k in kinds)
+    types = [k.groupBy("src", "tgt", "type").agg(F.count("*").alias("k")).join(m.select("src", "tgt", "type"), ["src", "tgt", "type"], "left_semi").agg(F.coalesce(F.sum("k"), F.lit(0))).first()[0] for k, m in zip(kinds, merged)]
+    kept = [m.count() for m in merged]
+    n["merge equal"], n["merge more specific"] = sum(types) - sum(kept), rows - sum(types)
+    n["incompatible"] = kept[0] - merged[0].select("src", "tgt").distinct().count()
+    by = {r.store: r.n for r in whole.groupBy("store").agg(F.count("*").alias("n")).collect()}
+    n["shelved"] = by.get("aside", 0)
+    n["transitive"] = kept[0] - by.get("origin", 0) - by.get("aside", 0)
+    closer = undirected(merged[0].select("src", "tgt")).union(merged[1].select("src", "tgt")).distinct()
+    n["absorbed"] = merged[2].join(closer, ["src", "tgt"], "left_semi").count()
+    n["within components"] = kept[2] - n["absorbed"] - by.get("related", 0)
+    return edges.sparkSession.createDataFrame(list(n.items()), "event string, n bigint")
+
+
 def degrees(edges: DataFrame) -> DataFrame:
     """(node, n_in, n_out); parallel edges count each."""
     ends = edges.select(F.col("src").alias("node"), F.lit(0).alias("i"), F.lit(1).alias("o")).union(edges.select("tgt", F.lit(1), F.lit(0)))

@@ -50,10 +50,10 @@ def collect_relations(df: DataFrame, key: Column, title: Column, text: Column, c
     id, pos and t are what the template says of the linked word. Null and empty texts give no rows; repeated rows come
     out repeated.
     """
-    vocabulary = prose.Vocabulary(tuple(sorted(codes)))
+    vocabulary, registry = prose.Vocabulary(tuple(sorted(codes))), dict(X.REGISTRY)  # as it is now, with what was added here
 
     def rows(title: str, text: str) -> Iterator[tuple]:
-        for i, k, e in X.collect(title, sections(text), codes, vocabulary, extractors):
+        for i, k, e in X.collect(title, sections(text), codes, vocabulary, extractors, registry):
             linked = dict(e.src.extra or e.tgt.extra)
             yield (i, k, *(getattr(w, a) for w in (e.src, e.tgt) for a in ("kind", "term", "language", "sense_idx")), e.type, e.uncertain, e.text, e.mechanism, *(linked.get(a) for a in ("id", "pos", "t")))
 

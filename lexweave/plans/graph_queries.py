@@ -183,7 +183,7 @@ _SWAPPED = "x AS (SELECT *, string_split(src, '#')[-2] AS ls, string_split(tgt,
 _CONNECTED = "{0}_bo AS (SELECT src, tgt FROM {0} UNION SELECT tgt, src FROM {0}), {0}_wc AS (SELECT src AS a, tgt AS b FROM {0}_bo UNION SELECT w.a, o.tgt FROM {0}_wc w JOIN {0}_bo o ON w.b = o.src)"
 
 
-@query(f"""WITH RECURSIVE {_E}, {_LANGTREE}, {_SWAPPED}, {_UP},
+_REDUCED = f"""WITH RECURSIVE {_E}, {_LANGTREE}, {_SWAPPED}, {_UP},
 nl AS (SELECT CASE WHEN t THEN tgt ELSE src END AS src, CASE WHEN t THEN src ELSE tgt END AS tgt, type, text, uncertain, ord FROM y WHERE src <> tgt),
 m0 AS (SELECT 'o' AS k, * FROM nl WHERE type IN {_DIR} UNION ALL SELECT CASE WHEN type = 'related' THEN 'r' ELSE 's' END, least(src, tgt), greatest(src, tgt), type, text, uncertain, ord FROM nl WHERE type = 'related' OR type IN {_SIB}),
 st AS (SELECT DISTINCT k, src, tgt, type FROM m0 a WHERE NOT EXISTS (SELECT 1 FROM m0 b JOIN up ON up.type = b.type WHERE b.k = a.k AND b.src = a.src AND b.tgt = a.tgt AND up.ancestor = a.type)),
@@ -192,7 +192,10 @@ fi AS (SELECT k, src, tgt, type FROM g WHERE k <> 'r' QUALIFY row_number() OVER
 cl AS (SELECT g.k, g.src, g.tgt, g.type, nullif(concat_ws('; ', g.text, r.text), '') AS text, g.uncertain OR coalesce(r.uncertain, false) AS uncertain, g.ord FROM g LEFT JOIN fi USING (k, src, tgt, type) LEFT JOIN (SELECT src AS a, tgt AS b, text, uncertain FROM g WHERE k = 'r') r ON fi.k IS NOT NULL AND r.a = least(g.src, g.tgt) AND r.b = greatest(g.src, g.tgt) AND (g.k, g.src, g.tgt, g.type) IN (SELECT (k, src, tgt, type) FROM fi) WHERE g.k <> 'r'),
 rl AS (SELECT * FROM g WHERE k = 'r' AND (src, tgt) NOT IN (SELECT (least(src, tgt), greatest(src, tgt)) FROM fi)),
 rk AS (SELECT *, row_number() OVER (PARTITION BY least(src, tgt), greatest(src, tgt) ORDER BY ord, type, src) AS nth FROM cl WHERE k = 'o'),
-gm AS (SELECT src, tgt FROM rk WHERE nth = 1), {_reduced('gm')}, sb AS (SELECT src, tgt FROM cl WHERE k = 's'), {_CONNECTED.format('gm_kept')}, {_CONNECTED.format('sb')}
+gm AS (SELECT src, tgt FROM rk WHERE nth = 1), {_reduced('gm')}, sb AS (SELECT src, tgt FROM cl WHERE k = 's'), {_CONNECTED.format('gm_kept')}, {_CONNECTED.format('sb')}"""
+
+
+@query(f"""{_REDUCED}
 SELECT src, tgt, type, text, uncertain, CASE WHEN (src, tgt) IN (SELECT (src, tgt) FROM gm_kept) AND nth = 1 THEN 'origin' ELSE 'aside' END AS store FROM rk WHERE nth > 1 OR (src, tgt) IN (SELECT (src, tgt) FROM gm_kept) OR (src, tgt) NOT IN (SELECT (src, tgt) FROM gm_dg)
 UNION ALL SELECT src, tgt, type, text, uncertain, 'sibling' FROM cl WHERE k = 's' UNION ALL SELECT src, tgt, type, text, uncertain, 'related' FROM rl WHERE (src, tgt) NOT IN (SELECT (a, b) FROM gm_kept_wc) AND (src, tgt) NOT IN (SELECT (a, b) FROM sb_wc)""")
 def g13_full_reduction(spark, d):
@@ -200,6 +203,15 @@ def g13_full_reduction(spark, d):
     return G.reduce_graph(edges(spark, d), older_languages(spark, d)).select("src", "tgt", "type", "text", "uncertain", "store")
 
 
+@query(f"""{_REDUCED}, t AS (SELECT count(*) AS rows, count(*) FILTER ((k, src, tgt, type) IN (SELECT (k, src, tgt, type) FROM g)) AS kept FROM m0), c AS (SELECT (SELECT count(*) FROM g) AS g, (SELECT count(*) FROM g WHERE k = 'o') AS o, (SELECT count(*) FROM g WHERE k = 'r') AS r,
+ (SELECT count(*) FROM rk WHERE nth > 1 OR (src, tgt) NOT IN (SELECT (src, tgt) FROM gm_dg)) AS aside, (SELECT count(*) FROM rk WHERE nth = 1 AND (src, tgt) IN (SELECT (src, tgt) FROM gm_kept)) AS origin, (SELECT count(*) FROM rl) AS rl, (SELECT count(*) FROM rl WHERE (src, tgt) NOT IN (SELECT (a, b) FROM gm_kept_wc) AND (src, tgt) NOT IN (SELECT (a, b) FROM sb_wc)) AS rest)
+SELECT 'language swap' AS event, (SELECT count(*) FROM y WHERE t AND (tgt, src, type, ord) NOT IN (SELECT (src, tgt, type, ord) FROM e)) AS n UNION ALL SELECT 'self loop', (SELECT count(*) FROM y WHERE src = tgt) UNION ALL SELECT 'merge equal', kept - g FROM t, c UNION ALL SELECT 'merge more specific', rows - kept FROM t UNION ALL SELECT 'incompatible', o - (SELECT count(DISTINCT (src, tgt)) FROM g WHERE k = 'o') FROM c
+UNION ALL SELECT 'shelved', aside FROM c UNION ALL SELECT 'transitive', o - origin - aside FROM c UNION ALL SELECT 'absorbed', r - rl FROM c UNION ALL SELECT 'within components', rl - rest FROM c""")
+def a15_reduction_events(spark, d):
+    """What each step of the reduction did."""
+    return G.reduction_events(edges(spark, d), older_languages(spark, d))
+
+
 @query(f"WITH RECURSIVE {_E}, {_LANGS}, {_reduced('lt')} SELECT lt.src, lt.tgt, round(odds, 6) AS odds FROM lt JOIN lt_kept k ON lt.src = k.src AND lt.tgt = k.tgt")
 def g14_tree_inference(spark, d):
     """The tree of languages by how often inherited words went one way rather than the other (A27, J6), without cycles

@@ -39,6 +39,26 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL[0]
 
 
+#: Cut tables of this process that are still there.
+_CUTS: set[str] = set()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration() if spark.sparkContext._jsc is None else spark._jsc.hadoopConfiguration()).delete(where, True)
+    _CUTS.discard(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all cut tables of this process, once no DataFrame made with them is needed; done when the process ends, as far
+    as the session's file system can still be reached."""
+    for path in list(_CUTS):
+        try:
+            _delete(spark, path)
+        except Exception:  # the JVM is gone
+            return
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written as a table in the shared folder and read again.
 
@@ -46,6 +66,9 @@ def cut(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/lexweave-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if not _CUTS:
+        atexit.register(clear, df.sparkSession)
+    _CUTS.add(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._cut_path = path
     return out
@@ -63,8 +86,7 @@ def release(*tables: DataFrame | None) -> None:
     """Delete the files of cut tables that no plan will read again; other DataFrames are passed over."""
     for t in tables:
         if (path := getattr(t, "_cut_path", None)) is not None:
-            where = t.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+            _delete(t.sparkSession, path)
             t._cut_path = None
 
 

@@ -66,14 +66,16 @@ def test_relations_of_a_page():
     assert senses["etymology"] == 1 and senses["links"] == 0
 
 
-def test_extractors_can_be_added():
+def test_extractors_can_be_added(spark, rows):
     @X.register("notes", "Usage notes")
     def notes(text, near, vocabulary, count):
-        yield from X.baseline(text, near, True)
+        for word in text.split():
+            yield X.Edge(near, X.Word("lexeme", word, near.language), "related", mechanism="word")
 
     try:
-        got = list(X.collect("a", sections("==Danish==\n===Usage notes===\n{{cog|sv|b}}"), {}, Vocabulary(), ("notes",)))
-        assert [(e.src.term, e.src.language, e.tgt.term, e.mechanism) for _, _, e in got] == [("a", "Danish", "b", "notes:template")]
+        df = spark.createDataFrame([(1, "a", "==Danish==\n===Usage notes===\nb c")], "id long, title string, t string")
+        got = P.collect_relations(df, F.col("id"), F.col("title"), F.col("t"), {}, ("notes",))
+        assert rows(got.select("src_term", "src_language", "tgt_term", "mechanism")) == [("a", "Danish", "b", "notes:word"), ("a", "Danish", "c", "notes:word")]
     finally:
         del X.REGISTRY["notes"]
 
