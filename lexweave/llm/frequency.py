@@ -9,7 +9,7 @@ the cardinality of the union, and a value that a third of all records hold is st
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,17 +52,28 @@ def union(containers: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
 _CONTAINER = "val string, hi bigint, body binary, counts binary"
 
 
-def containers(df: DataFrame, val: Column, record: Column, count: Column, starts: Column | None = None) -> DataFrame:
+def containers(df: DataFrame, val: Column, record: Column, count: Column, starts: Column | None = None, parse: Callable[[str], tuple[str | None, int]] | None = None) -> DataFrame:
     """(val, hi, body, counts): partial containers of each task, mergeable by ``union``.
 
     Rows need no grouping before: within a task the counts of a value's rows are added up as long as they belong to one
     delivery of a record, which begins where ``starts`` is true (every row, where it isn't given); of several deliveries
-    of a record the largest count is taken.
+    of a record the largest count is taken. ``parse`` turns a value as it stands into the value meant (None for none) and
+    a number that its count is multiplied by; it is called once for each distinct value of a batch of containers.
     """
 
     def build(vals: list, recs: list, occs: list, runs: list) -> pa.RecordBatch:
         enc = pa.chunked_array(vals).combine_chunks().dictionary_encode()
-        code, rec, occ, run = enc.indices.to_numpy(), np.concatenate(recs), np.concatenate(occs), np.concatenate(runs)
+        code, rec, occ, run, names = enc.indices.to_numpy(), np.concatenate(recs), np.concatenate(occs), np.concatenate(runs), enc.dictionary
+        if parse:
+            meant = [parse(v) for v in names.to_pylist()]
+            occ = occ * np.array([k for _, k in meant], np.int64)[code]
+            again = pa.array([v for v, _ in meant], pa.string()).dictionary_encode()
+            names = again.dictionary
+            code = again.indices.fill_null(-1).to_numpy()[code]
+            some = code >= 0
+            code, rec, occ, run = code[some], rec[some], occ[some], run[some]
+        if not len(code):
+            return pa.RecordBatch.from_arrays([pa.array([], t) for t in (pa.string(), pa.int64(), pa.binary(), pa.binary())], ["val", "hi", "body", "counts"])
         order = np.lexsort((run, rec, code))
         code, rec, occ, run = code[order], rec[order], occ[order], run[order]
         new = np.r_[True, (code[1:] != code[:-1]) | (rec[1:] != rec[:-1])]
@@ -76,7 +87,7 @@ def containers(df: DataFrame, val: Column, record: Column, count: Column, starts
         low = (rec - hi * RANGE).astype("<u2")
         packed = [pack(low[a:b], occ[a:b]) for a, b in zip(at.tolist(), ends.tolist())]
         bodies, counts = zip(*packed)
-        return pa.RecordBatch.from_arrays([enc.dictionary.take(pa.array(code[at])), pa.array(hi[at]), pa.array(bodies, pa.binary()), pa.array(counts, pa.binary())], ["val", "hi", "body", "counts"])
+        return pa.RecordBatch.from_arrays([names.take(pa.array(code[at])), pa.array(hi[at]), pa.array(bodies, pa.binary()), pa.array(counts, pa.binary())], ["val", "hi", "body", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vals, recs, occs, runs, held, at = [], [], [], [], 0, 0
@@ -142,7 +153,7 @@ def _cardinality(body: pa.Array, counts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["df", "occ"])
 
 
-def frequencies(df: DataFrame, val: Column, record: Column, count: Column, n_records: int, rare_at_most: int, common_above: float, starts: Column | None = None) -> DataFrame:
+def frequencies(df: DataFrame, val: Column, record: Column, count: Column, n_records: int, rare_at_most: int, common_above: float, starts: Column | None = None, parse: Callable[[str], tuple[str | None, int]] | None = None) -> DataFrame:
     """(val, n_occurrences, n_records, band) of every value; band is rare, common or null between.
 
     A record counts once however often its row is repeated; its count is that of ``containers``. Null values and rows
@@ -150,6 +161,6 @@ def frequencies(df: DataFrame, val: Column, record: Column, count: Column, n_rec
     before. A value within the rare limit is rare even if so few records make it common too. ``n_records`` is the number
     of all records, those without a value included. An empty table gives an empty result.
     """
-    c = merged(containers(df, val, record, count, starts)).withColumn("n", _cardinality("body", "counts"))
+    c = merged(containers(df, val, record, count, starts, parse)).withColumn("n", _cardinality("body", "counts"))
     f = c.groupBy("val").agg(F.sum("n.occ").alias("n_occurrences"), F.sum("n.df").alias("n_records"))
     return f.withColumn("band", F.when(F.col("n_records") <= rare_at_most, "rare").when(F.col("n_records") > common_above * n_records, "common"))

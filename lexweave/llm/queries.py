@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +86,16 @@ def p4_clean(spark: SparkSession, d: str) -> DataFrame:
 NEAR = 4096
 
 
+_COUNTED = re.compile(r"(.*?)(?:=\s*(\d+)\s*)?", re.A | re.S)
+
+
+def _name_count(value: str) -> tuple[str | None, int]:
+    """name=count as its parts; a count that is missing or no 64-bit number is 1, an empty name is none."""
+    m = _COUNTED.fullmatch(value)
+    n = int(m[2]) if m[2] else 1
+    return m[1].strip(" ") or None, n if n < 1 << 63 else 1
+
+
 def _frequencies(spark: SparkSession, d: str) -> DataFrame:
     """Templates and languages with their numbers. The number of all entries is a container as well: that of the value ""
     among the languages, which every entry holds besides its language."""
@@ -92,9 +104,7 @@ def _frequencies(spark: SparkSession, d: str) -> DataFrame:
     lang = cut(frequency.frequencies(e.select("entry_id", F.explode(held).alias("v")), F.col("v"), F.col("entry_id"), F.lit(1), 0, 2, 0.1).drop("band"))
     n = (lang.where("val = ''").first() or (0, 0, 0))[2]
     vals = split_packed(e, F.col("entry_id"), F.col("templates"), F.floor(F.col("entry_id") / NEAR))
-    named = vals.withColumn("name", F.trim(F.regexp_replace("val", r"=\s*\d+\s*$", "")))
-    times = F.coalesce(F.nullif(F.regexp_extract("val", r"=\s*(\d+)\s*$", 1), F.lit("")).try_cast("bigint"), F.lit(1).cast("bigint"))
-    t = frequency.frequencies(named, F.nullif("name", F.lit("")), F.col("rec_key"), times, n, 2, 0.1, F.col("pos") == 1)
+    t = frequency.frequencies(vals, F.col("val"), F.col("rec_key"), F.lit(1), n, 2, 0.1, F.col("pos") == 1, _name_count)
     lang = lang.where("val <> ''").withColumn("band", F.when(F.col("n_records") <= 2, "rare").when(F.col("n_records") > 0.1 * n, "common"))
     return t.select(F.lit("entries.templates").alias("source_field"), "*").unionByName(lang.select(F.lit("entries.language").alias("source_field"), "*"))
 
