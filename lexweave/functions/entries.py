@@ -15,6 +15,7 @@ _SHORT = [
     (r"adj(?:ective)?", "Adjective"), (r"adv(?:erb)?", "Adverb"), (r"n(?:oun)?|.* noun", "Noun"), (r"v(?:erb)?i?t?|.* verb", "Verb"), (r"pron(?:oun)?", "Pronoun"), (r"prep(?:osition)?", "Preposition"), (r"conj(?:unction)?", "Conjunction"), (r"int(?:erj(?:ection)?)?", "Interjection"), (r"pn|prop(?:er)?(?: noun)?|name", "Proper noun"), (r"num(?:eral)?", "Numeral"), (r"suf(?:fix)?", "Suffix"), (r"pre(?:fix)?", "Prefix"), (r"part(?:iciple)?", "Participle"),
 ]
 _ETYMOLOGY = re.compile(r"Etym\D*(\d*)")
+#: Templates of labels and of sense ids.
 _LABELS, _SENSE = {"lb", "lbl", "label", "term-label", "tlb"}, {"senseid"}
 _FORMATTING = re.compile(r"(''+)(.+?)\1")
 _TAG = re.compile(r"<!--.*?-->|<ref\b[^<>]*/>|<ref\b.*?</ref>|</?(?!su[bp]\b)[a-z][^<>]*>", re.S)

@@ -34,7 +34,8 @@ class Vocabulary:
     """What the rules know beside themselves: names of languages (longest first) and which to pass over."""
 
     languages: tuple[str, ...] = ()
-    skip: frozenset[str] = frozenset("Are sign isolate mixed constructed substrate".split()) | {"not a family"}
+    #: Names that are rather words.
+    skip: frozenset[str] = frozenset(["Are", "sign", "isolate", "mixed", "not a family", "constructed", "substrate"])
 
     def __post_init__(self) -> None:
         names = sorted({n for n in self.languages if len(n) > 2 and n not in self.skip}, key=lambda n: (-len(n), n))
@@ -115,11 +116,12 @@ def annotate(seq: list[Token], pattern: re.Pattern | None, kind: str, group: int
     return out
 
 
+#: The words, marks and forms of names that types are told by.
 _UNCERTAIN, _FROM = re.compile(r"\b(?:maybe|possibly|probably|perhaps)\b", re.I), re.compile(r"\bfrom\b", re.I)
 _PLUS, _PUNCT = re.compile(r"\+"), re.compile(r"[.,;!?]+")
 _LITERALLY, _QUOTES = re.compile(r"\bliterally\b", re.I), re.compile("[\"“”‘`]+|(?<!\\w)'+|'+(?!\\w)")
 _NAME = re.compile(r"(?<=.)[A-Z]\w*\.?(?: (?:van|of|de|von))?(?: [A-Z](?:\w+|\.)(?:\.(?= [A-Z]))?)+")
-#: Words for a relation beside the names of templates; the weaker "origin" stands for derivation, which prose can't tell.
+#: Words for a relation beside the names of templates; the weaker "origin" stands for derivation, which prose can't tell.
 _WORDS = [
     ("shortening", r"shorten(?:ed|ing)\b"), ("eponym", r"\bnamed (?:after|for)\b"), ("unknown", r"\b(?:(?:of|origin) )?(?:uncertain|unknown|unclear)(?: (?:origin|descent))?"),
     ("onomatopoeic", r"\b(?:onomato|imitat)[a-z]+\b"), ("abbreviation", r"abbreviation"), ("related", r"\b(?:related to|see|compare)\b"),

@@ -9,13 +9,15 @@ from lexweave.operators import glosses as G
 from lexweave.operators import graph as GR
 from lexweave.operators import ontology as O
 from lexweave.operators import pages as P
+from lexweave.operators import relational as R2
 from lexweave.operators import resolve as R
 from lexweave.operators import store as S
 from lexweave.plans.graph_queries import _DIR, _E, edges
 from lexweave.plans.relational_queries import _E as _EN
 from lexweave.plans.relational_queries import _P as _PAGES
 from lexweave.plans.relational_queries import _R as _REVS
-from lexweave.plans.relational_queries import entries, homonym_pairs, pages, revs
+from lexweave.plans.relational_queries import _S as _SECTIONS
+from lexweave.plans.relational_queries import entries, homonym_pairs, pages, revs, section_rows
 from lexweave.plans.runtime import cut, table
 from lexweave.plans.text_queries import _codes, langs, texts
 from lexweave.sources import graph_files as W
@@ -162,20 +164,44 @@ def n7_entities(spark, d):
     return R.merge_entities(m)
 
 
-@query()
-def n10_matcher(spark, d):
-    """Train on homonyms' glosses told apart by sense, choose for the held-out words, and measure."""
+def _gold(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs with features: what a template might say of each word's first lexeme, with the glosses of all its lexemes."""
     n = table(spark, d, "node").where("gloss <> '' and term is not null and language is not null").select("node_id", "term", "language", "gloss").distinct()
     n = n.withColumn("etymid", F.col("node_id").cast("string"))
     # a mention says the last two words of a definition
     said = F.array_join(F.slice(F.split("gloss", " "), -2, 2), " ")
-    m = n.where(F.size(F.split("gloss", " ")) > 1).select(F.col("node_id").alias("mention"), "term", "language", F.col("etymid").alias("id"), said.alias("t"))
-    pairs = cut(G.features(G.gold_pairs(m, n)))
-    fit, test = G.split_by(pairs, ["term", "language"], 0.3)
+    first = R2.first_per(n, ["term", "language"], ["node_id", "gloss"])
+    m = first.where(F.size(F.split("gloss", " ")) > 1).select(F.col("node_id").alias("mention"), "term", "language", F.col("etymid").alias("id"), said.alias("t"))
+    return cut(G.features(G.gold_pairs(m, n)))
+
+
+@query()
+def n10_matcher(spark, d):
+    """Train on homonyms' glosses told apart by sense, choose for the held-out words, and measure."""
+    fit, test = G.split_by(_gold(spark, d), ["term", "language"], 0.3)
     scored = G.sense_level(G.predict(G.train(fit), test))
     return G.quality(G.best_match(scored, ["term", "language", "mention"]), F.col("chosen") == 1, F.col("match") == 1)
 
 
+@query()
+def n11_models(spark, d):
+    """The matcher's models beside each other on the same held-out words, and the logistic one on three features."""
+    fit, test = (cut(x) for x in G.split_by(_gold(spark, d), ["term", "language"], 0.3))
+    out = None
+    for name, model, using in [(m, m, G.FEATURES) for m in G.MODELS] + [("logistic of three", "logistic", ["lev", "tversky", "fuzzy"])]:
+        scored = G.sense_level(G.predict(G.train(fit, model, using), test))
+        q = G.quality(G.best_match(scored, ["term", "language", "mention"]), F.col("chosen") == 1, F.col("match") == 1).select(F.lit(name).alias("model"), "*")
+        out = q if out is None else out.unionByName(q)
+    return out
+
+
+@query(f"WITH {_SECTIONS}, o AS (SELECT *, list_filter(path, lambda h: regexp_full_match(h, '\\s*Etym\\D*\\d*\\s*'))[1] AS own FROM sc), k AS (SELECT *, coalesce(try_cast(nullif(regexp_extract(own, '(\\d+)\\s*$', 1), '') AS INT), CASE WHEN own IS NOT NULL THEN 1 END) - 1 AS number FROM o) SELECT page_id || '/' || rev_id AS rec_key, sec_pos, greatest(coalesce(last_value(number IGNORE NULLS) OVER (PARTITION BY page_id, rev_id, path[1] ORDER BY sec_pos ROWS UNBOUNDED PRECEDING), 0), 0)::INT AS sense_idx FROM k WHERE rev_id IS NOT NULL")
+def n3_section_senses(spark, d):
+    """The sense every section belongs to."""
+    s = section_rows(spark, d).where("rev_id is not null")
+    return R.resolve_sections(s.select(F.concat_ws("/", F.col("page_id").cast("string"), F.col("rev_id").cast("string")).alias("rec_key"), "sec_pos", "path"))
+
+
 # sets, order, samples
 
 

@@ -223,6 +223,16 @@ def write_selection(edges: DataFrame, nodes: DataFrame, path: str) -> None:
     _csv(nodes.where("kind = 'entity'").select("node", "term").orderBy("term", "node").coalesce(1), f"{path}/entities")
 
 
+def write_gold_standard(pairs: DataFrame, chosen: DataFrame, path: str, sample: int = 200) -> None:
+    """Four tables: pairs of glosses with their answer, the same by sense, what was chosen where, and a sample drawn by a
+    hash to be judged by people. ``pairs``: term, language, mention, a, node_id, b, match; ``chosen``: mention, node_id, how."""
+    _csv(pairs.select("match", "a", "b", "term", "language", "node_id"), f"{path}/gold_standard_sense")
+    _csv(pairs.groupBy("term", "language", "mention", "node_id").agg(F.max("match").alias("match")), f"{path}/gold_standard_etym")
+    _csv(chosen.select("mention", "node_id", "how"), f"{path}/disambiguation")
+    drawn = pairs.orderBy(F.xxhash64("mention", "node_id", "b"), "mention", "node_id").limit(sample)
+    _csv(drawn.select("term", "language", "a", "b", F.lit("").alias("answer")), f"{path}/annotate")
+
+
 def cached(spark: SparkSession, path: str, make: Callable[[], DataFrame], refresh: bool = False) -> DataFrame:
     """The table kept at ``path``, made and written where there is none yet or a new one is asked for."""
     at = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")

@@ -84,6 +84,14 @@ def test_head_and_stubs(spark, rows, graph, tmp_path):
     assert len(made) == 2
 
 
+def test_gold_standard(spark, rows, tmp_path):
+    pairs = spark.createDataFrame([("w", "da", 1, "a house", 10, "a large house", 1), ("w", "da", 1, "a house", 10, "a hall", 1), ("w", "da", 1, "a house", 11, "to go", 0)], "term string, language string, mention long, a string, node_id long, b string, match int")
+    chosen = spark.createDataFrame([(1, 10, "gloss")], "mention long, node_id long, how string")
+    W.write_gold_standard(pairs, chosen, str(tmp_path), 2)
+    n = {t: spark.read.option("header", True).csv(f"{tmp_path}/{t}").count() for t in ("gold_standard_sense", "gold_standard_etym", "disambiguation", "annotate")}
+    assert n == {"gold_standard_sense": 3, "gold_standard_etym": 2, "disambiguation": 1, "annotate": 2}
+
+
 def test_statistics(spark, rows, tmp_path):
     t = dt.datetime(2024, 5, 1, 12)
     tables = {
