@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 @pytest.fixture(scope="session")
 def spark():
     s = (
-        SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.sql.session.timeZone", "UTC")
+        SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "2").config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "4g").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
