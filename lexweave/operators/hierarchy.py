@@ -9,6 +9,8 @@
 * downward: the offsets along the path to the root are added up, again by doubling, which gives each node its range
   lo..hi in the preorder of the whole forest.
 
+Up to LOCAL_NODES nodes make both passes, and the search of loops, in the memory of one task, by the same sums.
+
 The rest comes from the ranges. ``b`` is a descendant of ``a`` if a.lo < b.lo <= a.hi. The depth of a node is the number
 of ranges open at its lo less one, a running sum over the preorder; its root is the last root before it. Ancestors and
 descendants are joined without comparing the nodes of a tree with each other: a range is cut into aligned blocks of
@@ -17,6 +19,9 @@ powers of RADIX, in one of which each of its nodes lies.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +32,8 @@ PARTS, PART = 64, 50_000
 #: Running sums over the preorder are taken within blocks of so many nodes and carried from block to block.
 BLOCK = 1 << 16
 RADIX = 16
+#: Nodes whose sizes and offsets one task may work out.
+LOCAL_NODES = 500_000
 
 
 def resolve_parents(df: DataFrame, code: Column, name: Column, parent: Column, none: tuple[str, ...] = ("-", "not a family")) -> DataFrame:
@@ -58,7 +65,66 @@ def hierarchy(links: DataFrame, with_path: bool = True) -> DataFrame:
     known = nodes.select(F.col("code").alias("parent"), F.lit(True).alias("known"))
     n = nodes.count()
     nodes = cut(skew_join(nodes, known, "parent", n).select("code", F.when(F.col("known"), F.col("parent")).alias("parent")))
+    if n <= LOCAL_NODES:
+        both = cut(nodes.repartition(1).mapInArrow(_in_memory, "code string, parent string, size bigint, lo bigint, low string, on_loop boolean"))
+        state, live = both.where("lo is not null").select("code", "parent", "size", "lo"), both.where("lo is null").limit(1).count()
+        looped = both.where("lo is null").select("code", "parent", F.col("low").alias("root"), F.lit(-1).alias("depth"), "on_loop")
+    else:
+        state, live, looped = _by_doubling(nodes, n)
 
+    done = _scan(state).withColumn("on_loop", F.lit(False))
+    release(state)
+    if with_path:
+        up = ancestors(cut(done.select("code", "lo", "size", (F.col("lo") + F.col("size") - 1).alias("hi"))))
+        path = up.groupBy("code").agg(F.array_sort(F.collect_list(F.struct("lo", "ancestor"))).alias("up"))
+        done = done.join(path, "code", "left").withColumn("path", F.concat(F.coalesce(F.transform("up", lambda x: x["ancestor"]), F.array().cast("array<string>")), F.array("code"))).drop("up")
+    return done.unionByName(looped, allowMissingColumns=True) if live else done
+
+
+def _in_memory(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Both passes over all nodes, siblings in the order of their codes; nodes that no root leads to run into loops."""
+    rows = sorted(r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+    at = {c: i for i, (c, _) in enumerate(rows)}
+    n = len(rows)
+    up = [-1 if p is None else at[p] for _, p in rows]
+    below: list[list[int]] = [[] for _ in range(n)]
+    order = []
+    for i, p in enumerate(up):
+        (order if p < 0 else below[p]).append(i)
+    for i in order:  # grows: the nodes from the roots down
+        order.extend(below[i])
+    size, lo = [1] * n, [None] * n
+    for i in reversed(order):
+        if up[i] >= 0:
+            size[up[i]] += size[i]
+    free = 0
+    for i in order:
+        if up[i] < 0:
+            lo[i], free = free, free + size[i]
+        place = lo[i] + 1
+        for k in below[i]:
+            lo[k], place = place, place + size[k]
+    low: list[int | None] = [None] * n
+    ring = [False] * n
+    for i in range(n):
+        path, seen, x = [], {}, i
+        while lo[x] is None and low[x] is None and x not in seen:
+            seen[x] = len(path)
+            path.append(x)
+            x = up[x]
+        if path:
+            least = low[x] if low[x] is not None else min(path[seen[x] :])
+            for k in path[seen[x] :] if x in seen else []:
+                ring[k] = True
+            for k in path:
+                low[k] = least
+    cols = ([c for c, _ in rows], [p for _, p in rows], [s if v is not None else None for s, v in zip(size, lo)], lo, [None if v is None else rows[v][0] for v in low], ring)
+    types = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["code", "parent", "size", "lo", "low", "on_loop"])
+
+
+def _by_doubling(nodes: DataFrame, n: int) -> tuple[DataFrame, int, DataFrame | None]:
+    """(nodes with size and lo, whether there are loops, the nodes that run into them) of any number of nodes."""
     # upward: sizes
     state = nodes.select("code", F.col("parent").alias("up"), F.lit(1).cast("bigint").alias("size"))
     live, jumps = state.where("up is not null").count(), []
@@ -96,15 +162,7 @@ def hierarchy(links: DataFrame, with_path: bool = True) -> DataFrame:
         release(old)
 
     release(*jumps[:-1])
-    done = _scan(state).withColumn("on_loop", F.lit(False))
-    release(state)
-    if with_path:
-        up = ancestors(cut(done.select("code", "lo", "size", (F.col("lo") + F.col("size") - 1).alias("hi"))))
-        path = up.groupBy("code").agg(F.array_sort(F.collect_list(F.struct("lo", "ancestor"))).alias("up"))
-        done = done.join(path, "code", "left").withColumn("path", F.concat(F.coalesce(F.transform("up", lambda x: x["ancestor"]), F.array().cast("array<string>")), F.array("code"))).drop("up")
-    if live:
-        done = done.unionByName(_loops(nodes, jumps[-1].select("code", "up"), n), allowMissingColumns=True)
-    return done
+    return state, live, _loops(nodes, jumps[-1].select("code", "up"), n) if live else None
 
 
 def _scan(ranges: DataFrame) -> DataFrame:

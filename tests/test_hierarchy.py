@@ -17,8 +17,9 @@ def brute(parent):
     return out
 
 
-@pytest.mark.parametrize("block, radix, part", [(H.BLOCK, H.RADIX, H.PART), (8, 2, 3), (1, 3, 50)])
-def test_random_forest_with_loops(spark, monkeypatch, block, radix, part):
+@pytest.mark.parametrize("block, radix, part, local", [(H.BLOCK, H.RADIX, H.PART, H.LOCAL_NODES), (8, 2, 3, 0), (1, 3, 50, 0)])
+def test_random_forest_with_loops(spark, monkeypatch, block, radix, part, local):
+    monkeypatch.setattr(H, "LOCAL_NODES", local)
     monkeypatch.setattr(H, "BLOCK", block), monkeypatch.setattr(H, "RADIX", radix), monkeypatch.setattr(H, "PART", part)
     rnd = random.Random(3)
     codes = [f"c{i:03d}" for i in range(220)]
