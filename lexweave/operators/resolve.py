@@ -48,8 +48,9 @@ def with_defaults(mentions: DataFrame, langs: DataFrame, near_term: str = "near_
     m = mentions.withColumn("term", F.coalesce(F.nullif("term", F.lit("")), near_term))
     m = m.where("term is not null and term not rlike '^:?(?:Image|File|Category|Appendix|Thesaurus|Wikipedia|w|q|s):'")
     named = langs.groupBy(F.col("name").alias("anchor")).agg(F.min("code").alias("_named"))
+    m = cut(m)
     n = m.count()
-    m = skew_join(cut(m), named, "anchor", n).withColumn("language", F.coalesce("_named", F.nullif("language", F.lit("")), near_language)).drop("_named")
+    m = skew_join(m, named, "anchor", n).withColumn("language", F.coalesce("_named", F.nullif("language", F.lit("")), near_language)).drop("_named")
     parent = L.parent_code(langs, langs.select(F.col("family").alias("code")).limit(0)).select("code", "parent_code")
     parent = parent.join(langs.where("type = 'etym-only'").select("code"), "code", "left_semi").select(F.col("code").alias("language"), "parent_code")
     m = skew_join(cut(m.where(F.col("language").isNull() | (F.col("language") != NO_LANGUAGE))), parent, "language", n)
