@@ -66,8 +66,8 @@ def cut(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/lexweave-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    if not _CUTS:
-        atexit.register(clear, df.sparkSession)
+    atexit.unregister(clear)  # once, for the session in use
+    atexit.register(clear, df.sparkSession)
     _CUTS.add(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._cut_path = path
