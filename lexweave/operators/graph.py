@@ -26,8 +26,12 @@ from lexweave.plans.runtime import cut, grow, release, salted_join, skew_join
 UNROLL = 3
 #: Edges of a weak component that one task may hold; a bin has no more than some three times as many.
 LOCAL_EDGES = 1_000_000
+#: Pairs of nodes that one task may hold whose pairs are all joined up already, at some 150 bytes each.
+LOCAL_PAIRS = 6_000_000
 #: Targets whose reach is followed at once, a bit each, within a task.
 CHUNK = 4096
+#: Steps of the walks back from a group of targets that are held at once; a group that takes more is followed by bits.
+WALKED = 8_000_000
 
 
 def node_id(c: str) -> Column:
@@ -35,29 +39,38 @@ def node_id(c: str) -> Column:
     return F.concat_ws("#", F.col(f"{c}.term"), F.col(f"{c}.language"), F.coalesce(F.col(f"{c}.sense_idx"), F.lit(0)).cast("string"))
 
 
-def edges_of(relations: DataFrame) -> DataFrame:
-    """Edges of a relation table. Repeated rows count once, rows without a term at either end are left out, unknown types
-    are ``related`` and a null ``uncertain`` is false; an empty text is none."""
-    rows = relations.where("src.term is not null and tgt.term is not null").select(
+def edge_rows(relations: DataFrame) -> DataFrame:
+    """Edges of a relation table, repeated rows each. Rows without a term at either end are left out, unknown types are
+    ``related`` and a null ``uncertain`` is false; an empty text is none."""
+    return relations.where("src.term is not null and tgt.term is not null").select(
         node_id("src").alias("src"), node_id("tgt").alias("tgt"), O.type_case(F.col("type")).alias("type"), F.nullif(F.col("text"), F.lit("")).alias("text"),
         F.coalesce("uncertain", F.lit(False)).alias("uncertain"), F.col("ord").cast("bigint").alias("ord"),
     )
-    return rows.distinct()
+
+
+def edges_of(relations: DataFrame) -> DataFrame:
+    """``edge_rows``, repeated rows once."""
+    return edge_rows(relations).distinct()
 
 
 def no_self_loops(edges: DataFrame) -> DataFrame:
     return edges.where("src <> tgt")
 
 
+def _with_turn(edges: DataFrame, older: DataFrame) -> DataFrame:
+    """``edges`` with ``turn``: whether ``swap_historical`` turns them, or null."""
+    lang = lambda c: F.substring_index(F.substring_index(c, "#", -2), "#", 1)
+    pairs = older.select(F.col("old").alias("lt"), F.col("young").alias("ls"), F.lit(True).alias("turn")).distinct()
+    e = edges.withColumn("ls", lang("src")).withColumn("lt", lang("tgt")).join(pairs, ["ls", "lt"], "left")
+    return e.select(*edges.columns, (F.col("turn") & F.col("type").isin(*O.HISTORICAL)).alias("turn"))
+
+
 def swap_historical(edges: DataFrame, older: DataFrame) -> DataFrame:
     """Turn inherited edges round that run from the younger to the older language.
 
     ``older`` has (old, young), the strict closure of a language tree; the language is the part of the id after its term.
     """
-    lang = lambda c: F.element_at(F.split(c, "#"), -2)
-    pairs = older.select(F.col("old").alias("lt"), F.col("young").alias("ls"), F.lit(True).alias("turn")).distinct()
-    e = edges.withColumn("ls", lang("src")).withColumn("lt", lang("tgt")).join(pairs, ["ls", "lt"], "left")
-    turn = F.col("turn") & F.col("type").isin(*O.HISTORICAL)
+    e, turn = _with_turn(edges, older), F.col("turn")
     return e.select(F.when(turn, F.col("tgt")).otherwise(F.col("src")).alias("src"), F.when(turn, F.col("src")).otherwise(F.col("tgt")).alias("tgt"), *(c for c in edges.columns if c not in ("src", "tgt")))
 
 
@@ -356,15 +369,13 @@ def _implied_by_rounds(edges: DataFrame) -> DataFrame:
     return hits.distinct().select(F.col("a").alias("src"), F.col("b").alias("tgt"))
 
 
-def _implied_in_memory(src: np.ndarray, tgt: np.ndarray, ids: pa.Array) -> pa.Table:
-    """Along the reverse topological order each node gets the bits of the asked targets it reaches, CHUNK at a time."""
-    n = len(ids)
+def _implied_by_bits(n: int, src: np.ndarray, tgt: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    """Along the reverse topological order each node gets the bits of the ``targets`` it reaches, CHUNK at a time; whether
+    each edge into one of them is implied."""
     place = _tarjan(n, src, tgt)  # of a DAG: every node by itself, its successors before it
     order = np.argsort(place[src], kind="stable")
     src, tgt = src[order], tgt[order]
     start = np.flatnonzero(np.r_[True, src[1:] != src[:-1], True]).tolist() if len(src) else [0]
-    asked = (np.bincount(src, minlength=n)[src] > 1) & (np.bincount(tgt, minlength=n)[tgt] > 1)
-    targets = np.unique(tgt[asked])
     heads, to = src.tolist(), tgt.tolist()
     hit = np.zeros(len(src), bool)
     for c in range(0, len(targets), CHUNK):
@@ -378,10 +389,60 @@ def _implied_in_memory(src: np.ndarray, tgt: np.ndarray, ids: pa.Array) -> pa.Ta
             if far & near:  # a successor that another one reaches
                 for k in range(a, b):
                     if bit.get(to[k], 0) & far:
-                        hit[k] = True
+                        hit[order[k]] = True
             if far or near:
                 reach[heads[a]] = far | near
-    k = np.flatnonzero(hit)
+    return hit
+
+
+def _runs(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each run, ``count`` of them."""
+    ends = np.cumsum(count)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + count, count)
+
+
+def _implied(n: int, src: np.ndarray, tgt: np.ndarray) -> np.ndarray:
+    """Which edges of a DAG longer paths imply: those from a node that is met on the way back from another predecessor.
+
+    The ways back from many targets are walked at once, no node twice for a target. Where they grow beyond WALKED steps
+    the targets are taken in smaller groups, and a group of CHUNK by bits, which cost the same however much is reached.
+    """
+    order = np.argsort(tgt, kind="stable")
+    into, degree = src[order], np.bincount(tgt, minlength=n)
+    start = np.cumsum(degree) - degree
+    asked = np.flatnonzero((np.bincount(src, minlength=n)[src] > 1) & (degree[tgt] > 1))
+    key = tgt[asked] * n + src[asked]
+    hits, heavy = [key[:0]], []
+    todo = np.unique(tgt[asked])
+    work = [todo[k : k + 64 * CHUNK] for k in range(0, len(todo), 64 * CHUNK)]
+    while work:
+        group = work.pop()
+        front = np.repeat(group, degree[group]) * n + into[_runs(start[group], degree[group])]
+        front.sort()
+        seen, met = front, []
+        while len(front):
+            node = front % n
+            count = degree[node]
+            if count.sum() + len(seen) > WALKED:
+                break
+            step = np.unique(np.repeat(front // n, count) * n + into[_runs(start[node], count)])
+            old = np.isin(step, seen, assume_unique=True)
+            met.append(step[old])  # a predecessor of the target is among what was seen first
+            front = step[~old]
+            seen = np.sort(np.concatenate([seen, front]), kind="stable")
+        if not len(front):
+            hits += met
+        elif len(group) > CHUNK:
+            work += [group[: len(group) // 2], group[len(group) // 2 :]]
+        else:
+            heavy.append(group)
+    hit = np.zeros(len(src), bool)
+    hit[asked[np.isin(key, np.concatenate(hits))]] = True
+    return hit | _implied_by_bits(n, src, tgt, np.concatenate(heavy)) if heavy else hit
+
+
+def _implied_in_memory(src: np.ndarray, tgt: np.ndarray, ids: pa.Array) -> pa.Table:
+    k = np.flatnonzero(_implied(len(ids), src, tgt))
     return pa.table({"src": ids.take(pa.array(src[k])), "tgt": ids.take(pa.array(tgt[k]))})
 
 
@@ -427,33 +488,126 @@ def reduce_graph(edges: DataFrame, older: DataFrame | None = None, transitive: b
     return tag(kept, "origin").unionByName(tag(aside, "aside")).unionByName(tag(sibling, "sibling")).unionByName(tag(related, "related"))
 
 
+def _pair_outcomes(edges: DataFrame, older: DataFrame | None) -> DataFrame:
+    """Per pair of nodes (a, b), a the smaller or the same, what turning and merging make of its edges, repeated rows once.
+
+    rows: edges; swapped: edges turned onto none that was there; kept: rows of types that stay; forth, back, near, far:
+    types that stay, of directed edges from a to b and from b to a, of sibling and of ``related`` ones; main: 1 or 2 for
+    the directed edge forth or back that comes first, 0 for none. All is grouped where one shuffle by pair puts it.
+    """
+    names = sorted(O.PARENT)  # so that types compare as their numbers
+    kind = [0 if t in O.DIRECTED else 1 if t in O.SIBLING else 2 for t in names]
+    above = [sum(1 << names.index(u) for u in O.ancestors(t)[1:] if kind[names.index(u)] == kind[k]) for k, t in enumerate(names)]
+    number = F.create_map(*(F.lit(x) for k, t in enumerate(names) for x in (t, k)))
+    at = lambda values, as_: F.array(*(F.lit(v).cast(as_) for v in values))[F.col("t")]
+    e = _with_turn(edges, older) if older is not None else edges.withColumn("turn", F.lit(False))
+    pair = ["a", "b"]
+    e = e.select(F.least("src", "tgt").alias("a"), F.greatest("src", "tgt").alias("b"), (F.col("src") <= F.col("tgt")).alias("forth"), F.coalesce("turn", F.lit(False)).alias("turn"), number[F.col("type")].alias("t"), "text", "uncertain", "ord")
+    e = e.repartition(*pair).distinct()
+    e = e.groupBy(*pair, "t", "ord").agg(F.count_if("forth").alias("f"), F.count_if(~F.col("forth")).alias("g"), F.bool_or(F.col("forth") & F.col("turn")).alias("tf"), F.bool_or(~F.col("forth") & F.col("turn")).alias("tg"))
+    e = e.select(*pair, "t", "ord", F.expr("if(tf, 0, f) + if(tg, g, 0)").alias("kf"), F.expr("if(tg, 0, g) + if(tf, f, 0)").alias("kg"), F.expr("if(a <> b, if(tf and g = 0, f, 0) + if(tg and f = 0, g, 0), 0)").alias("swapped"))
+    e = e.groupBy(*pair, "t").agg(F.sum("kf").alias("kf"), F.sum("kg").alias("kg"), F.min(F.expr("if(kf > 0, ord, null)")).alias("of"), F.min(F.expr("if(kg > 0, ord, null)")).alias("og"), F.sum("swapped").alias("swapped"))
+    e = e.withColumn("kind", at(kind, "int"))
+    both = F.expr("if(kind = 0, kf, kf + kg)").alias("kf"), F.expr("if(kind = 0, kg, 0)").alias("kg")
+    e = e.groupBy(*pair).agg(F.collect_list(F.struct("t", at(above, "bigint").alias("up"), "kind", *both, "of", "og")).alias("l"), F.sum(F.col("kf") + F.col("kg")).alias("rows"), F.sum("swapped").alias("swapped"))
+    stay = "if(size(l) = 1, filter(l, x -> x.{0} > 0), filter(l, x -> x.{0} > 0 and not exists(l, y -> y.{0} > 0 and shiftright(y.up, x.t) & 1 = 1)))"
+    e = e.withColumns({"sf": F.expr(stay.format("kf")), "sg": F.expr(stay.format("kg"))})
+    first = "array_min(transform(filter(s{0}, x -> x.kind = 0), x -> struct(coalesce(array_min(transform(filter(l, y -> y.k{0} > 0 and (y.t = x.t or shiftright(x.up, y.t) & 1 = 1)), y -> y.o{0})), 9223372036854775807L), x.t)))"
+    n = "size(filter(sf, x -> x.kind = {0}))"
+    e = e.select(
+        *pair, "rows", "swapped", F.expr("aggregate(sf, 0L, (s, x) -> s + x.kf) + aggregate(sg, 0L, (s, x) -> s + x.kg)").alias("kept"),
+        F.expr(n.format(0)).alias("forth"), F.expr("size(sg)").alias("back"), F.expr(n.format(1)).alias("near"), F.expr(n.format(2)).alias("far"), "l", "sf", "sg",
+    )
+    main = f"case when a = b then 0 when back = 0 then if(forth > 0, 1, 0) when forth = 0 then 2 when {first.format('f')} <= {first.format('g')} then 1 else 2 end"
+    return e.withColumn("main", F.expr(main)).drop("l", "sf", "sg")
+
+
+def _connected(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest number of each node's weak component."""
+    low = np.arange(n)
+    while len(a):
+        np.minimum.at(low, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(low, down := low[low]):
+            low = down
+        a, b = low[a], low[b]
+        a, b = a[a != b], b[a != b]
+    return low
+
+
+def _cyclic(n: int, src: np.ndarray, tgt: np.ndarray) -> np.ndarray:
+    """Which edges lie on a cycle. Edges from nodes without predecessor and into ones without successor go first."""
+    left = np.arange(len(src))
+    for _ in range(64):
+        a, b = src[left], tgt[left]
+        stay = (np.bincount(b, minlength=n)[a] > 0) & (np.bincount(a, minlength=n)[b] > 0)
+        if stay.all():
+            break
+        left = left[stay]
+    on = np.zeros(len(src), bool)
+    nodes, at = np.unique(np.concatenate([src[left], tgt[left]]), return_inverse=True)
+    a, b = at[: len(left)], at[len(left) :]
+    comp = _tarjan(len(nodes), a, b)
+    on[left] = comp[a] == comp[b]
+    return on
+
+
+def _graph_outcomes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many main edges of all pairs (a, b, main, near, rest) lie on cycles, how many of the others paths imply, and how
+    many of the ``rest`` lie within a component of those or of the ``near`` pairs."""
+    held = [b for b in batches if b.num_rows]
+    columns = [pa.chunked_array([b.column(k) for b in held], held[0].schema.field(k).type) if held else None for k in range(5)]
+    if not held:
+        return
+    main, near, rest = (c.to_numpy() for c in columns[2:])
+    ends = pa.chunked_array([*columns[0].chunks, *columns[1].chunks])
+    del held, columns
+    code = np.concatenate([c.indices.to_numpy() for c in ends.dictionary_encode().chunks]).astype(np.int64)
+    del ends
+    a, b = code[: len(main)], code[len(main) :]
+    n = int(code.max()) + 1
+    on = main > 0
+    src, tgt = np.where(main == 1, a, b)[on], np.where(main == 1, b, a)[on]
+    cyclic = _cyclic(n, src, tgt)
+    src, tgt = src[~cyclic], tgt[~cyclic]
+    x, y = a[rest], b[rest]
+    origin, sibling = _connected(n, src, tgt), _connected(n, a[near], b[near])
+    within = (origin[x] == origin[y]) | (sibling[x] == sibling[y])
+    counts = [int(cyclic.sum()), int(_implied(n, src, tgt).sum()), int(within.sum())]
+    yield pa.RecordBatch.from_arrays([pa.array([c], pa.int64()) for c in counts], ["cyclic", "implied", "within"])
+
+
 def reduction_events(edges: DataFrame, older: DataFrame | None = None) -> DataFrame:
-    """(event, n): what each step of the reduction did, counted in edges.
+    """(event, n): what each step of the reduction did, counted in edges, repeated rows once.
 
     language swap: turned round; self loop: dropped; merge equal: rows that met an edge of their type; merge more
     specific: rows whose type gave way to one below it; incompatible: further types that stay between the same nodes in
     one direction; absorbed: ``related`` edges merged into closer ones; shelved: edges set aside on cycles and beside
     others; transitive: implied by paths; within components: ``related`` edges inside one.
+
+    What becomes of a pair's edges is decided pair by pair. Cycles and paths are a matter of the whole graph: up to
+    LOCAL_PAIRS pairs are one task's work, more go through the operators. Implied edges connect nothing that paths don't
+    connect, so components are those from before their removal.
     """
-    turned = cut(swap_historical(edges, older)) if older is not None else edges
-    plain = no_self_loops(turned)
-    kinds = [cut(plain.where(F.col("type").isin(*O.DIRECTED))), cut(undirected(plain.where(F.col("type").isin(*O.SIBLING)))), cut(undirected(plain.where("type = 'related'")))]
-    merged = [cut(merge_types(k)) for k in kinds]
-    whole = cut(reduce_graph(edges, older))
-    n = {}
-    n["language swap"] = turned.join(edges.select("src", "tgt", "type", "ord").distinct(), ["src", "tgt", "type", "ord"], "left_anti").count() if older is not None else 0
-    n["self loop"] = turned.where("src = tgt").count()
-    rows = sum(k.count() for k in kinds)
-    types = [k.groupBy("src", "tgt", "type").agg(F.count("*").alias("k")).join(m.select("src", "tgt", "type"), ["src", "tgt", "type"], "left_semi").agg(F.coalesce(F.sum("k"), F.lit(0))).first()[0] for k, m in zip(kinds, merged)]
-    kept = [m.count() for m in merged]
-    n["merge equal"], n["merge more specific"] = sum(types) - sum(kept), rows - sum(types)
-    n["incompatible"] = kept[0] - merged[0].select("src", "tgt").distinct().count()
-    by = {r.store: r.n for r in whole.groupBy("store").agg(F.count("*").alias("n")).collect()}
-    n["shelved"] = by.get("aside", 0)
-    n["transitive"] = kept[0] - by.get("origin", 0) - by.get("aside", 0)
-    closer = undirected(merged[0].select("src", "tgt")).union(merged[1].select("src", "tgt")).distinct()
-    n["absorbed"] = merged[2].join(closer, ["src", "tgt"], "left_semi").count()
-    n["within components"] = kept[2] - n["absorbed"] - by.get("related", 0)
+    p = cut(_pair_outcomes(edges, older))
+    s = p.agg(*(F.coalesce(F.sum(F.expr(c)), F.lit(0)).alias(a) for a, c in {
+        "swapped": "swapped", "loops": "if(a = b, rows, 0)", "rows": "if(a = b, 0, rows)", "kept": "if(a = b, 0, kept)", "types": "if(a = b, 0, forth + back + near + far)",
+        "directed": "if(a = b, 0, forth + back)", "ways": "if(a = b, 0, least(forth, 1) + least(back, 1))", "main": "if(main > 0, 1, 0)", "absorbed": "if(a <> b and forth + back + near > 0, far, 0)", "pairs": "if(a = b, 0, 1)",
+    }.items())).first()
+    rest = (F.col("forth") + F.col("back") + F.col("near") == 0) & (F.col("far") > 0)
+    p = p.where("a <> b").select("a", "b", "main", (F.col("near") > 0).alias("near"), rest.alias("rest"))
+    if s.pairs <= LOCAL_PAIRS:
+        cyclic, implied, within = p.coalesce(1).mapInArrow(_graph_outcomes, "cyclic bigint, implied bigint, within bigint").first() or (0, 0, 0)
+    else:
+        main = p.where("main > 0").select(F.expr("if(main = 1, a, b)").alias("src"), F.expr("if(main = 1, b, a)").alias("tgt"))
+        around = cut(on_cycles(main, strong_components(main)).select("src", "tgt"))
+        dag = cut(main.join(around, ["src", "tgt"], "left_anti"))
+        cyclic, implied = around.count(), implied_edges(dag).count()
+        named = lambda c: p.where(c).select(F.col("a").alias("src"), F.col("b").alias("tgt"))
+        within = p.where("rest").count() - prune_related(prune_related(named("rest"), weak_components(dag)), weak_components(named("near"))).count()
+    n = {
+        "language swap": s.swapped, "self loop": s.loops, "merge equal": s.kept - s.types, "merge more specific": s.rows - s.kept, "incompatible": s.directed - s.ways,
+        "shelved": s.directed - s.main + cyclic, "transitive": implied, "absorbed": s.absorbed, "within components": within,
+    }
     return edges.sparkSession.createDataFrame(list(n.items()), "event string, n bigint")
 
 

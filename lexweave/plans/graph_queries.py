@@ -209,7 +209,7 @@ SELECT 'language swap' AS event, (SELECT count(*) FROM y WHERE t AND (tgt, src,
 UNION ALL SELECT 'shelved', aside FROM c UNION ALL SELECT 'transitive', o - origin - aside FROM c UNION ALL SELECT 'absorbed', r - rl FROM c UNION ALL SELECT 'within components', rl - rest FROM c""")
 def a15_reduction_events(spark, d):
     """What each step of the reduction did."""
-    return G.reduction_events(edges(spark, d), older_languages(spark, d))
+    return G.reduction_events(G.edge_rows(table(spark, d, "relation")), older_languages(spark, d))
 
 
 @query(f"WITH RECURSIVE {_E}, {_LANGS}, {_reduced('lt')} SELECT lt.src, lt.tgt, round(odds, 6) AS odds FROM lt JOIN lt_kept k ON lt.src = k.src AND lt.tgt = k.tgt")
